@@ -6,9 +6,11 @@ each distinct endpoint-cell pair is walked once:
 
 * ``cell_traffic``: count trips per pair (partial aggregation, so a hot pair
   costs one row per task), walk each pair, explode, sum per cell.
-* ``trip_route_cells``: walk the distinct pairs, join back to the trips on
-  the four cell coordinates, ``posexplode``.  The pair table is unique per
-  join key; AQE splits a hot pair's trip partition if one dominates.
+* ``trip_route_cells``: walk the distinct pairs, ``posexplode`` each walk
+  into ``(pair, pos, cell)`` rows, then equi-join the trips to them on the
+  four cell coordinates.  The number of distinct pairs has no small proven
+  bound (up to cells squared), so the join is sort-merge, never broadcast;
+  AQE's skew handling splits the trip side of a pair that dominates.
 """
 
 from __future__ import annotations
@@ -92,10 +94,11 @@ def with_endpoints(trips: DataFrame, keep: tuple[str, ...] = ("seq", "key")) ->
 def trip_route_cells(trips: DataFrame, keep: tuple[str, ...] = ("seq", "key")) -> DataFrame:
     """``keep`` + ``pos`` + ``cell``: one row per cell on each trip's way."""
     ends = with_endpoints(trips, keep)
-    paths = (ends.select(*PAIR).distinct()
-                 .withColumn("cells", walk_cells(*[F.col(c) for c in PAIR])))
-    return (ends.join(paths, on=PAIR, how="inner")
-                .select(*keep, F.posexplode("cells").alias("pos", "cell")))
+    steps = (ends.select(*PAIR).distinct()
+                 .select(*PAIR, F.posexplode(walk_cells(*[F.col(c) for c in PAIR]))
+                         .alias("pos", "cell")))
+    return (ends.join(steps.hint("merge"), on=PAIR, how="inner")
+                .select(*keep, "pos", "cell"))
 
 
 def cell_traffic(trips: DataFrame) -> DataFrame:

@@ -277,3 +277,139 @@ def q_trip_fares_interval_join(spark, sf_dir):
     t = trips(spark, sf_dir).withColumn("trip_ts", F.expr(TRIP_TIME_SHIFT))
     return flat_merged(merge.interval_left_join(fares(spark, sf_dir), t,
                                                 fare_time="ts", trip_time="trip_ts"))
+
+
+# --------------------------------------------------------------------------
+# Grid geometry, distance, heading, routes
+
+def _center_sql(cell: str) -> tuple[str, str]:
+    lon = (f"round(cast(cast(74.05::double - ({cell} % 250) * 0.0014::double - 0.0014::double / 2 as float) "
+           f"* cast(-1.0 as float) as double), 6)")
+    lat = (f"round(cast(cast(41.0::double - (({cell} - {cell} % 250) // 250) * 0.00125::double "
+           f"- 0.00125::double / 2 as float) as double), 6)")
+    return lon, lat
+
+
+_CLON, _CLAT = _center_sql("grid_id")
+
+
+@register("grid_cell_centers", O.with_ctes(
+    f"select grid_id, {_CLON} as center_lon, {_CLAT} as center_lat, count(*) as pickups "
+    "from cells where grid_id > -1 group by grid_id"))
+def q_grid_cell_centers(spark, sf_dir):
+    """Centre of every cell trips start in, with its pickup count."""
+    from hackney.functions.geo import cell_center_lat, cell_center_lon
+    counts = (trending.pickup_cells(trips(spark, sf_dir), keep=())
+              .groupBy("grid_id").agg(F.count(F.lit(1)).alias("pickups")))
+    return counts.select(
+        "grid_id",
+        F.round(cell_center_lon(F.col("grid_id")).cast("double"), 6).alias("center_lon"),
+        F.round(cell_center_lat(F.col("grid_id")).cast("double"), 6).alias("center_lat"),
+        "pickups")
+
+
+_HEADING_SQL = ("case when plon = dlon and plat = dlat and cos(cast(plat as double)) < 0 then 359 "
+                "else cast(trunc(degrees(atan2(cast(dlat - plat as double), "
+                "cast(dlon - plon as double) * cos(cast(plat as double))))) as integer) + 179 end")
+_DIST_SQL = ("110.25::double * sqrt(cast(plat - dlat as double) * cast(plat - dlat as double) + "
+             "(cast(plon - dlon as double) * cos(cast(dlat as double))) * "
+             "(cast(plon - dlon as double) * cos(cast(dlat as double))))")
+
+
+@register("trip_geo", O.with_ctes(
+    f"select seq, key, round({_DIST_SQL}, 6) as distance_km, {_HEADING_SQL} as heading "
+    "from trips where has_dropoff"))
+def q_trip_geo(spark, sf_dir):
+    from hackney.functions.geo import heading, planar_distance
+    t = trips(spark, sf_dir).where(F.size("dropoff_location") == 2)
+    p0, p1 = F.get("pickup_location", 0), F.get("pickup_location", 1)
+    d0, d1 = F.get("dropoff_location", 0), F.get("dropoff_location", 1)
+    return t.select("seq", "key",
+                    F.round(planar_distance(p0, p1, d0, d1), 6).alias("distance_km"),
+                    heading(p0, p1, d0, d1).alias("heading"))
+
+
+def _walk_sql() -> str:
+    """Recursive walk over distinct endpoint pairs (DuckDB)."""
+    d = "::double"
+    base = f"(cast(x - sx as double) + 0.5{d}) * slope + cast(sy as double)"
+    yr, yf = f"({base} - 0.5{d})", f"({base} + 0.5{d})"
+    yd = "cast(y as double)"
+    band_r = f"({yr} > {yd} - 0.05{d} and {yr} < {yd} + 0.05{d})"
+    band_f = f"({yf} > {yd} - 0.05{d} and {yf} < {yd} + 0.05{d})"
+    fx1 = f"(case when {band_f} then x + 1 else x end)"
+    fy1 = f"(case when {band_f} then y - 1 else y end)"
+    above = f"({yf} > cast({fy1} as double))"
+    nx = (f"case when slope > 0{d} then (case when {band_r} or {yr} < {yd} then x + 1 else x end) "
+          f"else (case when {above} then {fx1} + 1 else {fx1} end) end")
+    ny = (f"case when slope > 0{d} then (case when {band_r} or not ({yr} < {yd}) then y + 1 else y end) "
+          f"else (case when {above} then {fy1} else {fy1} - 1 end) end")
+    return (
+        "ends as (select seq, key, " + O.gx("plon") + " as x1, " + O.gy("plat") + " as y1, "
+        + O.gx("dlon") + " as x2, " + O.gy("dlat") + " as y2 from trips where has_dropoff and "
+        + O.in_nyc("plon", "plat") + " and " + O.in_nyc("dlon", "dlat") + "),\n"
+        "pairs as (select distinct x1, y1, x2, y2 from ends),\n"
+        "norm as (select x1, y1, x2, y2, case when x1 <= x2 then x1 else x2 end as sx, "
+        "case when x1 <= x2 then y1 else y2 end as sy, case when x1 <= x2 then x2 else x1 end as ex, "
+        "case when x1 <= x2 then y2 else y1 end as ey from pairs),\n"
+        f"norm2 as (select *, cast(ey - sy as double) / (cast(ex - sx as double) + 0.00000001{d}) as slope from norm),\n"
+        "walk as (select x1, y1, x2, y2, sx, sy, ex, ey, slope, 0 as pos, sx as x, sy as y from norm2 "
+        "union all "
+        f"select x1, y1, x2, y2, sx, sy, ex, ey, slope, pos + 1, {nx}, {ny} from walk "
+        "where x < ex or y <> ey)")
+
+
+@register("route_cells", "with recursive " + O.with_ctes(
+    "select e.seq, e.key, w.pos, w.x + 250 * w.y as cell from ends e join walk w "
+    "on e.x1 = w.x1 and e.y1 = w.y1 and e.x2 = w.x2 and e.y2 = w.y2",
+    _walk_sql())[len("with "):])
+def q_route_cells(spark, sf_dir):
+    return routes.trip_route_cells(trips(spark, sf_dir), keep=("seq", "key"))
+
+
+@register("route_cell_traffic", "with recursive " + O.with_ctes(
+    "select w.x + 250 * w.y as cell, count(*) as trips from ends e join walk w "
+    "on e.x1 = w.x1 and e.y1 = w.y1 and e.x2 = w.x2 and e.y2 = w.y2 group by all",
+    _walk_sql())[len("with "):])
+def q_route_cell_traffic(spark, sf_dir):
+    return routes.cell_traffic(trips(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# JSON edge and index documents
+
+@register("json_round_trip", O.with_ctes(f"select {_TRIP_OUT} from trips"))
+def q_json_round_trip(spark, sf_dir):
+    from hackney.sources import kafka
+    t = trips(spark, sf_dir)
+    frame = kafka.to_kafka_frame(t, key_col="key", value_cols=parse.TRIP_COLUMNS, keep=("seq",))
+    back = kafka.from_kafka_json(frame, kafka.REFINED_TRIP_SCHEMA, keep=("seq",))
+    return flat_trips(back)
+
+
+@register("trip_documents", O.with_ctes(
+    "select medallion, hack_license, vendor_id, rate_code, store_and_fwd_flag, pickup_datetime, "
+    "dropoff_datetime, passenger_count, cast(trip_time_in_secs as integer) as trip_time_in_secs, "
+    f"{_json_double('trip_distance')} as trip_distance, "
+    f"{_json_double('plon')} as pickup_lon, {_json_double('plat')} as pickup_lat, "
+    f"{_json_double('dlon')} as dropoff_lon, {_json_double('dlat')} as dropoff_lat from trips"))
+def q_trip_documents(spark, sf_dir):
+    from hackney.functions.fields import float_as_json_double as jd
+    from hackney.operators.documents import trip_documents
+    d = trip_documents(trips(spark, sf_dir))
+    return d.select(
+        "medallion", "hack_license", "vendor_id", "rate_code", "store_and_fwd_flag",
+        "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_time_in_secs",
+        jd(F.col("trip_distance")).alias("trip_distance"),
+        jd(F.get("pickup_location", 0)).alias("pickup_lon"),
+        jd(F.get("pickup_location", 1)).alias("pickup_lat"),
+        jd(F.get("dropoff_location", 0)).alias("dropoff_lon"),
+        jd(F.get("dropoff_location", 1)).alias("dropoff_lat"))
+
+
+@register("fare_documents", O.with_ctes(
+    "select medallion, hack_license, vendor_id, pickup_datetime, payment_type, "
+    + ", ".join(f"cast({a} as float) as {a}" for a in parse.FARE_AMOUNTS) + " from fares"))
+def q_fare_documents(spark, sf_dir):
+    from hackney.operators.documents import fare_documents
+    return fare_documents(fares(spark, sf_dir))
