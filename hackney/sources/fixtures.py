@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hackney.sources.tables import read_table
+
 # The line-derivation rule shared with the DuckDB oracle.
 _BASE = """
 with b as (select event_id as seq, cast(ts as timestamp) as ts, cast(2013000000+user_id as string) med, cast(2013500000+user_id % 40 as string) hack,
@@ -35,7 +37,7 @@ _FARES = _BASE + """select seq, ts, case when seq % 101=0 then 'medallion, hack_
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return read_table(spark, sf_dir, "events")
 
 
 def trip_lines_from_events(spark: SparkSession, events_df: DataFrame) -> DataFrame:
