@@ -32,9 +32,12 @@ LINE_SCHEMA = T.StructType([
 
 
 def read_line_files(spark: SparkSession, path: str, files_per_trigger: int | None = 1,
-                    fmt: str = "json", schema: T.StructType = LINE_SCHEMA) -> DataFrame:
+                    fmt: str = "json", schema: T.StructType = LINE_SCHEMA,
+                    timestamp_format: str = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]") -> DataFrame:
     """Stream ``seq, ts, value`` records from files dropped into ``path``."""
     r = spark.readStream.format(fmt).schema(schema)
+    if fmt == "json":
+        r = r.option("timestampFormat", timestamp_format)
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
     return r.load(path)

@@ -1,0 +1,146 @@
+"""Structured Streaming: final streaming results equal the batch results."""
+
+import json
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from hackney.operators import merge, parse, payments, trending
+from hackney.sources import fixtures
+from hackney.streaming import jobs
+
+SF = "/root/testdata/sf0.001"
+
+
+def _write_files(rows, folder, n_files):
+    """Rows (seq, ts, value) into ``n_files`` JSON-lines files in seq order."""
+    os.makedirs(folder, exist_ok=True)
+    rows = sorted(rows, key=lambda r: r[0])
+    size = max(1, -(-len(rows) // n_files))
+    for i in range(0, len(rows), size):
+        with open(os.path.join(folder, f"part-{i // size:05d}.json"), "w") as fh:
+            for seq, ts, value in rows[i:i + size]:
+                fh.write(json.dumps({"seq": seq, "ts": ts.strftime("%Y-%m-%dT%H:%M:%S.%f"),
+                                     "value": value}) + "\n")
+
+
+def _rows(df):
+    return sorted((r.seq, r.ts, r.value) for r in df.collect())
+
+
+def _run(df, name, mode, out):
+    q = (df.writeStream.queryName(name).outputMode(mode)
+           .option("checkpointLocation", out + "-ckpt")
+           .foreachBatch(jobs.idempotent_batches(out))
+           .trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    assert q.exception() is None
+    return q
+
+
+def _sorted(df, cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())
+
+
+def test_trending_stream_equals_batch_and_restart(spark):
+    base = tempfile.mkdtemp(prefix="hk-trend-")
+    rows = _rows(fixtures.trip_lines(spark, SF))
+    half = len(rows) // 2
+    src, out = f"{base}/in", f"{base}/out"
+    _write_files(rows[:half], src, 4)
+    stream = parse.parse_trips(jobs.read_line_files(spark, src))
+    counts = jobs.trending_stream(stream, window="1 day", slide="6 hours")
+    _run(counts, "trend_a", "update", out)
+    # more files arrive; restart from the same checkpoint
+    with open(f"{src}/part-late.json", "w") as fh:
+        for seq, ts, value in rows[half:]:
+            fh.write(json.dumps({"seq": seq, "ts": ts.strftime("%Y-%m-%dT%H:%M:%S.%f"),
+                                 "value": value}) + "\n")
+    _run(counts, "trend_b", "update", out)
+    got = jobs.latest_per_key(spark.read.parquet(out), ["window_start", "window_end", "grid_id"])
+    batch = trending.trending(parse.parse_trips(fixtures.trip_lines(spark, SF)),
+                              window="1 day", slide="6 hours")
+    cols = ["window_start", "window_end", "grid_id", "pickups"]
+    assert _sorted(got, cols) == _sorted(batch, cols)
+
+
+def test_late_row_dropped(spark, lines):
+    base = tempfile.mkdtemp(prefix="hk-late-")
+    good = ("2013008681,2013007085,VTS,1,,2013-12-01 00:00:00,2013-12-01 00:06:00,6,360,1.24,"
+            "-73.983803,40.743511,-73.990311,40.729755")
+    import datetime as dt
+    t0 = dt.datetime(2013, 12, 1, 0, 0)
+    src, out = f"{base}/in", f"{base}/out"
+    _write_files([(1, t0, good), (2, t0 + dt.timedelta(hours=2), good)], src, 2)
+    stream = parse.parse_trips(jobs.read_line_files(spark, src))
+    counts = jobs.trending_stream(stream, window="5 minutes", slide="1 minute",
+                                  lateness="10 minutes")
+    _run(counts, "late_a", "update", out)
+    # a row 2 hours older than the watermark arrives: dropped
+    with open(f"{src}/zz-late.json", "w") as fh:
+        fh.write(json.dumps({"seq": 3, "ts": "2013-12-01T00:01:00.000000", "value": good}) + "\n")
+    _run(counts, "late_b", "update", out)
+    got = jobs.latest_per_key(spark.read.parquet(out), ["window_start", "window_end", "grid_id"])
+    assert sorted(r.pickups for r in got.collect()) == [1] * 10
+
+
+def test_table_join_stream_equals_batch(spark):
+    base = tempfile.mkdtemp(prefix="hk-j2-")
+    _write_files(_rows(fixtures.trip_lines(spark, SF)), f"{base}/trips", 3)
+    _write_files(_rows(fixtures.fare_lines(spark, SF)), f"{base}/fares", 3)
+    t = parse.parse_trips(jobs.read_line_files(spark, f"{base}/trips", None))
+    f = parse.parse_fares(jobs.read_line_files(spark, f"{base}/fares", None))
+    joined = jobs.table_left_join_stream(f, t)
+    _run(joined, "j2", "update", f"{base}/out")
+    got = jobs.latest_per_key(spark.read.parquet(f"{base}/out"), ["key"])
+    batch = merge.table_left_join(parse.parse_fares(fixtures.fare_lines(spark, SF)),
+                                  parse.parse_trips(fixtures.trip_lines(spark, SF)))
+    cols = ["key", "fare_seq", "trip_seq", "total_amount", "trip_distance", "pickup_datetime"]
+    assert _sorted(got, cols) == _sorted(batch, cols)
+
+
+def test_interval_join_stream_edges(spark):
+    import datetime as dt
+    base = tempfile.mkdtemp(prefix="hk-j3-")
+    trip = ("2013008681,2013007085,VTS,1,,2013-12-01 00:00:00,2013-12-01 00:06:00,6,360,1.24,"
+            "-73.983803,40.743511,-73.990311,40.729755")
+    fare = "2013008681,2013007085,VTS,2013-12-01 00:00:00,CSH,6.5,0.5,0.5,0,0,7.5"
+    other = fare.replace("2013008681", "2013000001")
+    t0 = dt.datetime(2013, 12, 1, 0, 0)
+    _write_files([(10, t0 + dt.timedelta(minutes=10), trip),
+                  (11, t0 + dt.timedelta(minutes=10, seconds=1), trip),
+                  (99, t0 + dt.timedelta(hours=3), trip)], f"{base}/trips", 1)
+    _write_files([(1, t0, fare), (2, t0, other),
+                  (98, t0 + dt.timedelta(hours=3), fare)], f"{base}/fares", 1)
+    t = parse.parse_trips(jobs.read_line_files(spark, f"{base}/trips", None))
+    f = parse.parse_fares(jobs.read_line_files(spark, f"{base}/fares", None))
+    j = jobs.interval_left_join_stream(f, t, lateness="5 minutes")
+    out = f"{base}/out"
+    _run(j, "j3_a", "append", out)
+    # advance both watermarks so the unmatched fare at t0 is emitted
+    late_t = t0 + dt.timedelta(hours=6)
+    with open(f"{base}/trips/zz.json", "w") as fh:
+        fh.write(json.dumps({"seq": 100, "ts": late_t.isoformat(), "value": trip}) + "\n")
+    with open(f"{base}/fares/zz.json", "w") as fh:
+        fh.write(json.dumps({"seq": 101, "ts": late_t.isoformat(), "value": fare}) + "\n")
+    _run(j, "j3_b", "append", out)
+    rows = spark.read.parquet(out).collect()
+    pairs = sorted((r.fare_seq, r.trip_seq) for r in rows if r.fare_seq in (1, 2))
+    assert pairs == [(1, 10), (2, None)]     # 10:00 matches, 10:01 does not; unmatched once
+
+
+def test_payment_summary_stream_equals_batch(spark):
+    base = tempfile.mkdtemp(prefix="hk-pay-")
+    _write_files(_rows(fixtures.fare_lines(spark, SF)), f"{base}/fares", 4)
+    f = parse.parse_fares(jobs.read_line_files(spark, f"{base}/fares"))
+    s = jobs.summary_stream(payments.statement(f, keep=("ts",)), window="1 day", stamp=True)
+    _run(s, "pay", "update", f"{base}/out")
+    got = jobs.latest_per_key(spark.read.parquet(f"{base}/out"),
+                              ["window_start", "window_end", "hack_license"])
+    assert "txn_date" in got.columns
+    batch = payments.summary(payments.statement(parse.parse_fares(fixtures.fare_lines(spark, SF)),
+                                                keep=("ts",)), window="1 day", stamp=False)
+    cols = ["window_start", "hack_license", "total_amount", "payable_amount"]
+    r = lambda df: sorted((a, b, round(c, 6), round(d, 6)) for a, b, c, d in _sorted(df, cols))
+    assert r(got) == r(batch)
