@@ -83,8 +83,10 @@ def walk_cells(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
 def with_endpoints(trips: DataFrame, keep: tuple[str, ...] = ("seq", "key")) -> DataFrame:
     """Trips whose pickup and dropoff both lie in the box, with endpoint
     cell coordinates ``x1, y1, x2, y2``."""
-    p0, p1 = F.get(F.col("pickup_location"), 0), F.get(F.col("pickup_location"), 1)
-    d0, d1 = F.get(F.col("dropoff_location"), 0), F.get(F.col("dropoff_location"), 1)
+    def part(loc, i):   # gridded as FLOAT, whatever the input width
+        return F.get(F.col(loc), i).cast("float")
+    p0, p1 = part("pickup_location", 0), part("pickup_location", 1)
+    d0, d1 = part("dropoff_location", 0), part("dropoff_location", 1)
     inside = in_nyc(p0, p1) & in_nyc(d0, d1)
     return (trips.where(inside)
                  .select(*keep, grid_x(p0).alias("x1"), grid_y(p1).alias("y1"),

@@ -21,9 +21,12 @@ SLIDE = "1 minute"
 
 
 def pickup_cells(trips: DataFrame, keep: tuple[str, ...] = ("key",)) -> DataFrame:
-    """``keep`` columns plus ``grid_id`` of the pickup, in-area trips only."""
-    lon = F.get(F.col("pickup_location"), 0)
-    lat = F.get(F.col("pickup_location"), 1)
+    """``keep`` columns plus ``grid_id`` of the pickup, in-area trips only.
+
+    Coordinates are gridded as FLOAT; DOUBLE input (e.g. read back from
+    JSON) is narrowed first, so both give the same cell."""
+    lon = F.get(F.col("pickup_location"), 0).cast("float")
+    lat = F.get(F.col("pickup_location"), 1).cast("float")
     return (trips.select(*keep, area_cell(lon, lat).alias("grid_id"))
                  .where(F.col("grid_id") > F.lit(NOT_IN_AREA)))
 
