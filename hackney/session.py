@@ -7,17 +7,26 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on.  Time zone: the raw files carry local wall
-# time with no zone, so all parsing and windowing is pinned to UTC.
-BASE_CONF = {
+# SQL settings the plans rely on; applied to any session the library is
+# handed (they are runtime settings, so this works on a running cluster).
+# Time zone: the raw files carry local wall time with no zone, so all parsing
+# and windowing is pinned to UTC.
+SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Joins in this library are sort-merge unless a side is provably small;
-    # AQE may still demote to broadcast from measured runtime sizes.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # No broadcast from planner *estimates* (an estimate after an explode or
+    # a filter can be far below the real size).  AQE broadcasts a join side
+    # only when its measured shuffle output is below 32 MB.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+}
+
+# Settings every job relies on.
+BASE_CONF = {
+    **SQL_CONF,
+    "spark.ui.enabled": "false",
     # Long text keys (medallion + licence + minute) keep state stores large;
     # RocksDB keeps them off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
@@ -44,11 +53,17 @@ def get_session(master: str | None = None, app_name: str = "hackney",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    apply_sql_conf(spark)
     checkpoint_dir(spark)
     return spark
 
 
+def apply_sql_conf(spark: SparkSession) -> None:
+    """Set the library's SQL settings on an existing session."""
+    for k, v in SQL_CONF.items():
+        spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
