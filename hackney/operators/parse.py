@@ -151,7 +151,8 @@ def gate_lines(lines: DataFrame, kind: str, line_col: str = "value") -> DataFram
     """
     idx = TRIP_PICKUP_FIELD if kind == "trip" else FARE_PICKUP_FIELD
     ts = parse_time(field(split_fields(F.col(line_col)), idx))
-    return lines.withColumn("event_ts", ts).where(F.col("event_ts").isNotNull())
+    once = lines.select(*lines.columns, F.inline(F.array(F.struct(ts.alias("event_ts")))))
+    return once.where(F.col("event_ts").isNotNull())
 
 
 def field_profile(lines: DataFrame, line_col: str = "value") -> DataFrame:

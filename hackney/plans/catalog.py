@@ -82,9 +82,9 @@ def _both_lines(spark, sf_dir, fn_trip, fn_fare):
 
 
 @register("raw_fields", O.with_ctes(
-    "select seq, 'trip' as kind, len(f) as n_fields, f[1] as first_field, f[-1] as last_field from trip_split "
+    "select seq, 'trip' as kind, cast(len(f) as integer) as n_fields, f[1] as first_field, f[-1] as last_field from trip_split "
     "union all "
-    "select seq, 'fare' as kind, len(f) as n_fields, f[1] as first_field, f[-1] as last_field from fare_split"))
+    "select seq, 'fare' as kind, cast(len(f) as integer) as n_fields, f[1] as first_field, f[-1] as last_field from fare_split"))
 def q_raw_fields(spark, sf_dir):
     prof = _both_lines(spark, sf_dir, parse.field_profile, parse.field_profile)
     return prof.select("seq", "kind", "n_fields", "first_field", "last_field")

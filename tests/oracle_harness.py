@@ -35,6 +35,11 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
+         "string": "VARCHAR", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN",
+         "date": "DATE", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -72,6 +77,13 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
         return res
     rel = con.sql(sql)
     d_cols = rel.columns
+    s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    bad = {c: (s_types[c], d_types.get(c)) for c in s_types
+           if _TYPE.get(s_types[c], s_types[c]) != d_types.get(c)}
+    res["types_match"] = not bad
+    if bad:
+        res["type_diff"] = bad
     d_rows = rel.fetchall()
     res["oracle_rows"] = len(d_rows)
     res["cols_match"] = sorted(s_cols) == sorted(d_cols)
@@ -81,7 +93,7 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
         res["match"] = False
         return res
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
-    res["match"] = a == b
+    res["match"] = a == b and res["types_match"]
     if not res["match"]:
         sa, sb = set(a), set(b)
         res["only_spark"] = list(sa - sb)[:3]
