@@ -62,3 +62,19 @@ def test_int_frame_bytes(spark):
     assert bytes(rows[0].key) == (51297).to_bytes(4, "big")
     assert bytes(rows[1].key) == (-1).to_bytes(4, "big", signed=True)
     assert bytes(rows[0].value) == (3).to_bytes(4, "big")
+
+
+def test_replay_lines(spark, tmp_path):
+    from hackney.streaming import services as svc
+    src = tmp_path / "raw"
+    src.mkdir()
+    good = "2013008681,2013007085,VTS,2013-12-01 00:00:00,CSH,6.5,0.5,0.5,0,0,7.5"
+    header = "medallion, hack_license, vendor_id, pickup_datetime, payment_type"
+    (src / "fares.csv").write_text("\n".join([header, good, good.replace(":00:00", ":05:00")]) + "\n")
+    topics = svc.Topics(fmt="json", root=str(tmp_path / "topics"), trigger={"availableNow": True})
+    q = svc.replay_lines(spark, str(src), "fare", topics)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    out = spark.read.json(str(tmp_path / "topics" / kafka.RAW_FARE_TOPIC))
+    rows = out.collect()
+    assert len(rows) == 2 and {r.key for r in rows} == {""}
