@@ -10,7 +10,7 @@ writes a topic, checkpointed under the shared checkpoint folder:
 ``trending_grid``             pickups per cell, 5-min windows every minute
 ``driver_payments``           statement topic, then 2-min driver summary
 ``replay_lines``              text files -> raw topic (empty key), gated
-``index_trips``               refined trips -> document index (or files)
+``index_trips`` / ``index_fares``  refined records -> document index (or files)
 ==============================  ==========================================
 
 :class:`Topics` hides where topics live: Kafka (``fmt="kafka"``, needs the
@@ -187,3 +187,21 @@ def index_trips(spark: SparkSession, topics: Topics, fmt: str = "json",
     return (docs.writeStream.queryName("index_trips").option("checkpointLocation", ckpt)
                 .foreachBatch(write)
                 .trigger(**(topics.trigger or {"processingTime": "10 seconds"})).start())
+
+
+def index_fares(spark: SparkSession, topics: Topics, fmt: str = "json",
+                target: str | None = None, options: dict | None = None) -> StreamingQuery:
+    """Refined fares -> fare documents (index ``nyc_tlc_fares``, amounts FLOAT)."""
+    fares = _refined(spark, topics, kafka.REFINED_FARE_TOPIC, kafka.REFINED_FARE_SCHEMA)
+    docs = documents.fare_documents(fares)
+    target = target or documents.FARE_INDEX
+    ckpt = scratch_path(spark, "svc-index_fares")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if fmt in ("json", "parquet"):
+            batch.write.mode("overwrite").format(fmt).save(f"{target}/batch_id={batch_id}")
+        else:
+            write_documents(batch, fmt, target, options)
+    return (docs.writeStream.queryName("index_fares").option("checkpointLocation", ckpt)
+                .foreachBatch(write)
+                .trigger(**(topics.trigger or {"processingTime": "10 seconds"})).start())

@@ -31,8 +31,9 @@ def test_services_chain(spark):
     assert rt.count() == parse.parse_trips(fixtures.trip_lines(spark, SF)).count()
 
     _await(services.trending_grid(spark, topics), services.merge_trip_fares(spark, topics),
-           services.payment_statements(spark, topics), services.index_trips(spark, topics,
-                                                                            target=f"{root}/docs"))
+           services.payment_statements(spark, topics),
+           services.index_trips(spark, topics, target=f"{root}/docs"),
+           services.index_fares(spark, topics, target=f"{root}/fare_docs"))
     _await(services.payment_summary(spark, topics, window="1 day"))
 
     kv = spark.read.json(f"{root}/{kafka.TRENDING_PICKUP_GRID_TOPIC}-changes")
@@ -54,6 +55,8 @@ def test_services_chain(spark):
 
     docs = spark.read.json(f"{root}/docs")
     assert set(docs.columns) >= {"medallion", "pickup_location", "trip_time_in_secs"}
+    fdocs = spark.read.json(f"{root}/fare_docs")
+    assert fdocs.count() == parse.parse_fares(fixtures.fare_lines(spark, SF)).count()
 
 
 def test_int_frame_bytes(spark):
