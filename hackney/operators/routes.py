@@ -53,6 +53,9 @@ def walk_cells(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     g = F.lit(GRID_COLUMNS)
 
     def step(acc: Column, _i: Column) -> Column:
+        # The state holds the current cell and the cells visited before it;
+        # a step appends the current cell and moves, so the next position is
+        # evaluated once per step.
         x, y = acc["x"], acc["y"]
         base = (x - sx).cast("double") + _d(0.5)
         # rising branch
@@ -69,15 +72,16 @@ def walk_cells(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
         above = yf > fy1.cast("double")
         fx = F.when(above, fx1 + 1).otherwise(fx1)
         fy = F.when(above, fy1).otherwise(fy1 - 1)
-        nx = F.when(rising, rx).otherwise(fx)
-        ny = F.when(rising, ry).otherwise(fy)
         going = (x < ex) | (y != ey)
-        moved = F.struct(nx.alias("x"), ny.alias("y"),
-                         F.concat(acc["cells"], F.array(nx + g * ny)).alias("cells"))
+        moved = F.struct(F.when(rising, rx).otherwise(fx).alias("x"),
+                         F.when(rising, ry).otherwise(fy).alias("y"),
+                         F.concat(acc["cells"], F.array(x + g * y)).alias("cells"))
         return F.when(going, moved).otherwise(acc)
 
-    init = F.struct(sx.alias("x"), sy.alias("y"), F.array(sx + g * sy).alias("cells"))
-    return F.aggregate(F.sequence(F.lit(1), n_steps), init, step, lambda acc: acc["cells"])
+    init = F.struct(sx.alias("x"), sy.alias("y"),
+                    F.array().cast("array<int>").alias("cells"))
+    return F.aggregate(F.sequence(F.lit(1), n_steps), init, step,
+                       lambda acc: F.concat(acc["cells"], F.array(acc["x"] + g * acc["y"])))
 
 
 def with_endpoints(trips: DataFrame, keep: tuple[str, ...] = ("seq", "key")) -> DataFrame:
@@ -94,8 +98,13 @@ def with_endpoints(trips: DataFrame, keep: tuple[str, ...] = ("seq", "key")) ->
 
 
 def trip_route_cells(trips: DataFrame, keep: tuple[str, ...] = ("seq", "key")) -> DataFrame:
-    """``keep`` + ``pos`` + ``cell``: one row per cell on each trip's way."""
-    ends = with_endpoints(trips, keep)
+    """``keep`` + ``pos`` + ``cell``: one row per cell on each trip's way.
+
+    The trip endpoints feed two branches (distinct pairs, and the join), so
+    they are checkpointed once into the shared checkpoint folder: one pass
+    over the source, and a lineage cut that a lost executor cannot undo.
+    """
+    ends = with_endpoints(trips, keep).checkpoint(eager=True)
     steps = (ends.select(*PAIR).distinct()
                  .select(*PAIR, F.posexplode(walk_cells(*[F.col(c) for c in PAIR]))
                          .alias("pos", "cell")))

@@ -68,13 +68,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
     On a cluster this is ``spark.checkpoint.dir`` as the cluster names it (a
-    shared file system path every executor can reach).  Only when it is unset,
-    as in local tests, a fresh folder is made and registered.
+    shared file system path every executor can reach).  Only when it is unset
+    and the master is local, as in tests, a fresh folder is made and
+    registered; a cluster without the setting is an error, never a
+    machine-local folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext._conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")
         path = tempfile.mkdtemp(prefix="hackney-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
