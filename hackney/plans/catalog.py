@@ -57,6 +57,16 @@ def q_trending_pickup_grid_daily(spark, sf_dir):
                              window="1 day", slide="6 hours")
 
 
+@register("trending_pickup_grid_pickup_time", O.with_ctes(
+    "select window_start, window_end, grid_id, count(*) as pickups from "
+    + O.hopping("grid_id", "(select t.pu_ts, c.grid_id from cells c join trips t on c.seq = t.seq "
+                "where c.grid_id > -1)", "pu_ts", O.MINUTE_US, 5 * O.MINUTE_US)
+    + " group by window_start, window_end, grid_id"))
+def q_trending_pickup_grid_pickup_time(spark, sf_dir):
+    """Backfill time base: windows on the parsed pickup time, not record time."""
+    return trending.trending(trips(spark, sf_dir), time_col="pickup_ts")
+
+
 @register("trending_grid_kv", O.with_ctes(
     "select grid_id as key, cast(count(*) as integer) as value from "
     + O.hopping("grid_id", "(select ts, grid_id from cells where grid_id > -1)", "ts",

@@ -40,15 +40,18 @@ _TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLO
          "date": "DATE", "smallint": "SMALLINT", "tinyint": "TINYINT"}
 
 
+STRICT = os.environ.get("HARNESS_STRICT") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v if STRICT else round(v, 9)
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 9)
+        return float(v) if STRICT else round(float(v), 9)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, (list, tuple)):
