@@ -163,7 +163,3 @@ def field_profile(lines: DataFrame, line_col: str = "value") -> DataFrame:
                      field(f, 0).alias("first_field"),
                      F.try_element_at(f, F.lit(-1)).alias("last_field"))
 
-
-def location_part(loc: Column, i: int) -> Column:
-    """Element ``i`` of a ``[lon, lat]`` array, NULL when absent."""
-    return F.get(loc, i)
