@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hackney.operators import merge, parse, payments, trending
-from hackney.session import scratch_path
+from hackney.session import checkpoint_dir
 
 DEFAULT_LATENESS = "1 day"
 LINE_SCHEMA = T.StructType([
@@ -131,9 +131,10 @@ def interval_left_join_stream(fares: DataFrame, trips: DataFrame, fare_time: str
 def start(df: DataFrame, name: str, mode: str = "append", fmt: str = "memory",
           path: str | None = None, checkpoint: str | None = None,
           trigger: dict | None = None) -> StreamingQuery:
-    """Start ``df`` with a checkpoint under the shared checkpoint folder."""
+    """Start ``df``; its checkpoint is ``<spark.checkpoint.dir>/streams/<name>``
+    unless given, so restarting a query of the same name resumes it."""
     spark = df.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, f"stream-{name}")
+    checkpoint = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
     w = (df.writeStream.queryName(name).format(fmt).outputMode(mode)
            .option("checkpointLocation", checkpoint))
     if path:

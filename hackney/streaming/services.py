@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hackney.operators import documents, parse, payments, trending
-from hackney.session import scratch_path
+from hackney.session import checkpoint_dir
 from hackney.sources import kafka
 from hackney.streaming import jobs
 
@@ -44,6 +44,13 @@ class Topics:
     servers: str | None = None
     root: str | None = None
     trigger: dict | None = None            # None: run continuously
+    checkpoint_root: str | None = None     # default: <spark.checkpoint.dir>/services
+
+    def checkpoint(self, spark: SparkSession, name: str) -> str:
+        """Stable checkpoint folder of service ``name``: a restart resumes
+        from where the previous run stopped."""
+        root = self.checkpoint_root or f"{checkpoint_dir(spark).rstrip('/')}/services"
+        return f"{root}/{name}"
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         """Streaming ``seq, ts, key, value`` of a topic, from the earliest."""
@@ -56,8 +63,7 @@ class Topics:
     def write(self, frame: DataFrame, topic: str, name: str,
               mode: str = "append") -> StreamingQuery:
         """Start writing a ``(seq?, ts?, key, value)`` frame to ``topic``."""
-        spark = frame.sparkSession
-        ckpt = scratch_path(spark, f"svc-{name}")
+        ckpt = self.checkpoint(frame.sparkSession, name)
         if self.fmt == "kafka":
             return kafka.write_topic(frame.select("key", "value"), self.servers, topic,
                                      checkpoint=ckpt, output_mode=mode, trigger=self.trigger)
@@ -178,7 +184,7 @@ def index_trips(spark: SparkSession, topics: Topics, fmt: str = "json",
     trips = _refined(spark, topics, kafka.REFINED_TRIP_TOPIC, kafka.REFINED_TRIP_SCHEMA)
     docs = documents.trip_documents(trips)
     target = target or documents.TRIP_INDEX
-    ckpt = scratch_path(spark, "svc-index_trips")
+    ckpt = topics.checkpoint(spark, "index_trips")
     def write(batch: DataFrame, batch_id: int) -> None:
         if fmt in ("json", "parquet"):   # files: one folder per batch, replay-safe
             batch.write.mode("overwrite").format(fmt).save(f"{target}/batch_id={batch_id}")
@@ -195,7 +201,7 @@ def index_fares(spark: SparkSession, topics: Topics, fmt: str = "json",
     fares = _refined(spark, topics, kafka.REFINED_FARE_TOPIC, kafka.REFINED_FARE_SCHEMA)
     docs = documents.fare_documents(fares)
     target = target or documents.FARE_INDEX
-    ckpt = scratch_path(spark, "svc-index_fares")
+    ckpt = topics.checkpoint(spark, "index_fares")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if fmt in ("json", "parquet"):

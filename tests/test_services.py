@@ -19,7 +19,8 @@ def _await(*qs):
 
 def test_services_chain(spark):
     root = tempfile.mkdtemp(prefix="hk-svc-")
-    topics = services.Topics(fmt="json", root=root, trigger={"availableNow": True})
+    topics = services.Topics(fmt="json", root=root, trigger={"availableNow": True},
+                             checkpoint_root=f"{root}/_checkpoints")
     for kind, lines in (("trips", fixtures.trip_lines(spark, SF)),
                         ("fares", fixtures.fare_lines(spark, SF))):
         topic = kafka.RAW_TRIP_TOPIC if kind == "trips" else kafka.RAW_FARE_TOPIC
@@ -74,10 +75,30 @@ def test_replay_lines(spark, tmp_path):
     good = "2013008681,2013007085,VTS,2013-12-01 00:00:00,CSH,6.5,0.5,0.5,0,0,7.5"
     header = "medallion, hack_license, vendor_id, pickup_datetime, payment_type"
     (src / "fares.csv").write_text("\n".join([header, good, good.replace(":00:00", ":05:00")]) + "\n")
-    topics = svc.Topics(fmt="json", root=str(tmp_path / "topics"), trigger={"availableNow": True})
+    topics = svc.Topics(fmt="json", root=str(tmp_path / "topics"), trigger={"availableNow": True},
+                        checkpoint_root=str(tmp_path / "ckpt"))
     q = svc.replay_lines(spark, str(src), "fare", topics)
     q.awaitTermination(300)
     assert q.exception() is None
     out = spark.read.json(str(tmp_path / "topics" / kafka.RAW_FARE_TOPIC))
     rows = out.collect()
     assert len(rows) == 2 and {r.key for r in rows} == {""}
+
+
+def test_service_restart_resumes(spark, tmp_path):
+    from hackney.streaming import services as svc
+    root = str(tmp_path / "topics")
+    topics = svc.Topics(fmt="json", root=root, trigger={"availableNow": True},
+                        checkpoint_root=str(tmp_path / "ckpt"))
+    fares = fixtures.fare_lines(spark, SF).select("seq", "ts", F.lit("").alias("key"), "value")
+    raw = f"{root}/{kafka.RAW_FARE_TOPIC}"
+    fares.where("seq < 500").write.json(raw)
+    for part in ("a", "b"):
+        if part == "b":   # new files arrive after the first run
+            fares.where("seq >= 500").write.mode("append").json(raw)
+        q = svc.refine_fares(spark, topics)
+        q.awaitTermination(300)
+        assert q.exception() is None
+    out = spark.read.json(f"{root}/{kafka.REFINED_FARE_TOPIC}")
+    want = parse.parse_fares(fixtures.fare_lines(spark, SF))
+    assert out.count() == want.count() == out.select("seq").distinct().count()
