@@ -9,10 +9,13 @@ Batch plans
   so the join is 1:1 and inherits the aggregates' hash partitioning on
   ``key`` (no extra exchange; sort-merge unless AQE sees a small side).
 * ``interval_left_join``: equi-join on ``(key, time bucket)`` plus the exact
-  range predicate.  Each left row falls in one bucket of width ``within``;
-  each right row is copied to the 2-3 buckets its range touches, so every
-  matching pair meets exactly once and a hot key is split by time.  AQE's
-  skew-join handling splits whatever hot ``(key, bucket)`` remains.
+  range predicate.  Each left row falls in one bucket (default width twice
+  the window); each right row is copied to the buckets its +-window range
+  touches (about two), so every matching pair meets exactly once, the
+  sort-merge join buffers one key's rows of one bucket only, and a hot key
+  is split by time.  AQE's skew-join handling splits whatever hot
+  ``(key, bucket)`` remains.  The left (preserved) side is never copied, so
+  an unmatched fare comes out exactly once.
 
 Streaming plans are in :mod:`hackney.streaming.jobs`.
 """
@@ -58,20 +61,23 @@ def table_left_join(fares: DataFrame, trips: DataFrame, key: str = "key") -> Dat
 
 def interval_left_join(fares: DataFrame, trips: DataFrame, fare_time: str, trip_time: str,
                        within_seconds: int = JOIN_WITHIN_SECONDS,
-                       key: str = "key") -> DataFrame:
+                       key: str = "key", bucket_seconds: int | None = None) -> DataFrame:
     """Every fare LEFT JOIN every trip of the same key whose time lies within
     ``within_seconds`` of the fare's (both ends included), merged.
 
     ``fare_time``/``trip_time`` name timestamp columns of the inputs; they
-    come out as ``fare_ts``/``trip_ts``.
+    come out as ``fare_ts``/``trip_ts``.  ``bucket_seconds`` (default twice
+    the window) trades trip copies in the shuffle against how finely a hot
+    key is split by time.
     """
+    b_us = (bucket_seconds or 2 * within_seconds) * 1_000_000
     w_us = within_seconds * 1_000_000
     f = _prefixed(fares, "f_", key)
     t = _prefixed(trips, "t_", key)
     ft, tt = F.col("f_" + fare_time), F.col("t_" + trip_time)
-    f = f.withColumn("_bucket", F.floor(F.unix_micros(ft) / F.lit(w_us)))
-    lo = F.floor((F.unix_micros(tt) - F.lit(w_us)) / F.lit(w_us))
-    hi = F.floor((F.unix_micros(tt) + F.lit(w_us)) / F.lit(w_us))
+    f = f.withColumn("_bucket", F.floor(F.unix_micros(ft) / F.lit(b_us)))
+    lo = F.floor((F.unix_micros(tt) - F.lit(w_us)) / F.lit(b_us))
+    hi = F.floor((F.unix_micros(tt) + F.lit(w_us)) / F.lit(b_us))
     t = (t.withColumn("_t_bucket", F.explode(F.sequence(lo, hi)))
           .withColumnRenamed(key, "_t_key"))
     span = F.make_dt_interval(secs=F.lit(within_seconds))
