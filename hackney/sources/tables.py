@@ -1,8 +1,11 @@
-"""Reading the given parquet tables."""
+"""Reading the given parquet tables; refined-record tables by pickup date."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -23,3 +26,34 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = True) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return spread(df) if spread_out else df
+
+
+PARTITION_COL = "pickup_date"
+
+
+def write_refined(df: DataFrame, path: str, time_col: str = "pickup_ts",
+                  mode: str = "append") -> None:
+    """Store refined records as parquet partitioned by pickup date.
+
+    Rows are range-partitioned by (date, time) before the write: each task
+    holds a contiguous time slice, so it writes files for one or two dates,
+    and a date holding a third of all rows is cut into many slices instead
+    of landing in one task.  Later reads with a time range prune whole
+    dates.  Records without a pickup time go to the default partition.
+    """
+    out = df.withColumn(PARTITION_COL, F.to_date(F.col(time_col)))
+    (out.repartitionByRange(PARTITION_COL, time_col)
+        .write.mode(mode).partitionBy(PARTITION_COL).parquet(path))
+
+
+def read_refined(spark: SparkSession, path: str, start: dt.date | None = None,
+                 end: dt.date | None = None) -> DataFrame:
+    """Read a refined table, keeping pickup dates in ``[start, end)``; the
+    date predicate is a partition filter, so other dates are never listed
+    or read."""
+    df = spark.read.parquet(path)
+    if start is not None:
+        df = df.where(F.col(PARTITION_COL) >= F.lit(start))
+    if end is not None:
+        df = df.where(F.col(PARTITION_COL) < F.lit(end))
+    return df

@@ -69,3 +69,16 @@ def test_text_line_source(spark, tmp_path):
     every = line_src.read_lines(spark, str(f))
     assert every.count() == 3
     assert parse.parse_trips(gated).select(F.countDistinct("key")).first()[0] == 2
+
+
+def test_refined_table_partition_pruning(spark, tmp_path):
+    import datetime as dt
+    from hackney.sources import tables
+    trips = _trips(spark)
+    path = str(tmp_path / "refined_trips")
+    tables.write_refined(trips, path)
+    part = tables.read_refined(spark, path, dt.date(2024, 1, 10), dt.date(2024, 1, 12))
+    p = _plan(part)
+    assert "PartitionFilters: [isnotnull(pickup_date" in p
+    want = trips.where((F.to_date("pickup_ts") >= "2024-01-10") & (F.to_date("pickup_ts") < "2024-01-12"))
+    assert part.count() == want.count() > 0
