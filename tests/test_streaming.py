@@ -144,3 +144,36 @@ def test_payment_summary_stream_equals_batch(spark):
     cols = ["window_start", "hack_license", "total_amount", "payable_amount"]
     r = lambda df: sorted((a, b, round(c, 6), round(d, 6)) for a, b, c, d in _sorted(df, cols))
     assert r(got) == r(batch)
+
+
+def test_interval_join_stream_equals_batch(spark):
+    import datetime as dt
+    base = tempfile.mkdtemp(prefix="hk-j3b-")
+    shifted = fixtures.trip_lines(spark, SF).withColumn(
+        "ts", F.expr("timestampadd(MINUTE, cast(seq % 13 as int), ts)"))
+    trips, fares = _rows(shifted), _rows(fixtures.fare_lines(spark, SF))
+    _write_files(trips, f"{base}/trips", 3)
+    _write_files(fares, f"{base}/fares", 3)
+    t = parse.parse_trips(jobs.read_line_files(spark, f"{base}/trips"))
+    f = parse.parse_fares(jobs.read_line_files(spark, f"{base}/fares"))
+    j = jobs.interval_left_join_stream(f, t, lateness="1 hour")
+    out = f"{base}/out"
+    _run(j, "j3_full_a", "append", out)
+    # a far-future row on both sides moves both watermarks past everything
+    far = (max(r[1] for r in trips + fares) + dt.timedelta(days=2)).isoformat()
+    dummy = {"fares": "9999999999,9999999999,VTS,2030-01-01 00:00:00,CSH,1,0,0,0,0,1",
+             "trips": ("9999999999,9999999999,VTS,1,,2030-01-01 00:00:00,2030-01-01 00:06:00,1,0,1,"
+                       "-73.9,40.7,-73.9,40.7")}
+    for side, seq in (("trips", 10**9), ("fares", 10**9 + 1)):
+        with open(f"{base}/{side}/zz.json", "w") as fh:
+            fh.write(json.dumps({"seq": seq, "ts": far, "value": dummy[side]}) + "\n")
+    _run(j, "j3_full_b", "append", out)
+    # the advanced watermark applies from the next micro-batch on: feed one
+    with open(f"{base}/fares/zzz.json", "w") as fh:
+        fh.write(json.dumps({"seq": 10**9 + 2, "ts": far, "value": dummy["fares"]}) + "\n")
+    _run(j, "j3_full_c", "append", out)
+    got = spark.read.parquet(out).where(F.col("fare_seq") < 10**9)
+    batch = merge.interval_left_join(parse.parse_fares(fixtures.fare_lines(spark, SF)),
+                                     parse.parse_trips(shifted), "ts", "ts")
+    cols = ["fare_seq", "trip_seq", "key", "total_amount", "trip_distance"]
+    assert _sorted(got, cols) == _sorted(batch, cols)
