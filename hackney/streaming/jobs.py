@@ -72,26 +72,46 @@ def summary_stream(statements: DataFrame, time_col: str = "ts",
 
 
 def table_left_join_stream(fares: DataFrame, trips: DataFrame, key: str = "key",
-                           order: str = "seq") -> DataFrame:
+                           order: str = "seq", lateness: str | None = None,
+                           pickup_col: str = "pickup_ts",
+                           record_col: str = "ts") -> DataFrame:
     """Latest fare LEFT JOIN latest trip per key, as a streaming aggregate.
 
     Both sides go into one keyed state row holding the latest fare and the
     latest trip (``max_by`` on the offset).  In ``update`` mode each
     micro-batch emits the current pair for every key it changed; a trip
     arriving later turns (fare, none) into (fare, trip); a trip without a
-    fare emits nothing.  State grows with the number of keys.
+    fare emits nothing.
+
+    State: without ``lateness`` it grows with the number of keys, as a
+    latest-value table does.  With ``lateness`` the grouping also carries the
+    1-minute window of the pickup time.  The key already encodes that
+    minute, so the groups are the same.  Pickup times get a watermark, and a
+    key's state is dropped once its minute is more than ``lateness`` behind.
+    Records arriving later than that are dropped.  A fare whose pickup text
+    did not parse (key ending ``-``) is windowed on its record time instead.
     """
     f_cols = [c for c in fares.columns if c != key]
     t_cols = [c for c in trips.columns if c != key]
     fare_struct = F.struct(*[F.col(c).alias(c) for c in f_cols])
     trip_struct = F.struct(*[F.col(c).alias(c) for c in t_cols])
+    def when_of(df):
+        if lateness is None:
+            return F.lit(None).cast("timestamp")
+        return F.coalesce(F.col(pickup_col), F.col(record_col))
     f = fares.select(key, fare_struct.alias("_fare"), F.col(order).alias("_fseq"),
                      F.lit(None).cast(_struct_type(trips, t_cols)).alias("_trip"),
-                     F.lit(None).cast("bigint").alias("_tseq"))
+                     F.lit(None).cast("bigint").alias("_tseq"), when_of(fares).alias("_when"))
     t = trips.select(key, F.lit(None).cast(_struct_type(fares, f_cols)).alias("_fare"),
                      F.lit(None).cast("bigint").alias("_fseq"),
-                     trip_struct.alias("_trip"), F.col(order).alias("_tseq"))
-    state = (f.unionByName(t).groupBy(key)
+                     trip_struct.alias("_trip"), F.col(order).alias("_tseq"),
+                     when_of(trips).alias("_when"))
+    both = f.unionByName(t)
+    groups = [key]
+    if lateness is not None:
+        both = both.withWatermark("_when", lateness)
+        groups.append(F.window("_when", "1 minute"))
+    state = (both.groupBy(*groups)
               .agg(F.max_by("_fare", "_fseq").alias("_fare"),
                    F.max_by("_trip", "_tseq").alias("_trip"))
               .where(F.col("_fare").isNotNull()))

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from hackney.functions.fields import parse_time
 from hackney.operators import documents, parse, payments, trending
 from hackney.session import checkpoint_dir
 from hackney.sources import kafka
@@ -104,10 +105,16 @@ _MERGED = ["medallion", "hack_license", "vendor_id", "payment_type", "fare_amoun
            "pickup_datetime", "dropoff_datetime", "pickup_location", "dropoff_location"]
 
 
-def merge_trip_fares(spark: SparkSession, topics: Topics) -> StreamingQuery:
+def merge_trip_fares(spark: SparkSession, topics: Topics,
+                     lateness: str | None = None) -> StreamingQuery:
+    """Latest fare LEFT JOIN latest trip per key; ``lateness`` bounds the
+    keyed state (see :func:`hackney.streaming.jobs.table_left_join_stream`)."""
     trips = _refined(spark, topics, kafka.REFINED_TRIP_TOPIC, kafka.REFINED_TRIP_SCHEMA)
     fares = _refined(spark, topics, kafka.REFINED_FARE_TOPIC, kafka.REFINED_FARE_SCHEMA)
-    merged = jobs.table_left_join_stream(fares, trips)
+    if lateness is not None:
+        trips = trips.withColumn("pickup_ts", parse_time(F.col("pickup_datetime")))
+        fares = fares.withColumn("pickup_ts", parse_time(F.col("pickup_datetime")))
+    merged = jobs.table_left_join_stream(fares, trips, lateness=lateness)
     frame = kafka.to_kafka_frame(merged, "key", _MERGED, keep=("fare_seq", "trip_seq"))
     return topics.write(frame, kafka.MERGED_TRIP_FARES_TOPIC, "merge_trip_fares", mode="update")
 
