@@ -48,13 +48,15 @@ def read_text_lines(spark: SparkSession, path: str, kind: str,
     """Stream raw text lines; the pickup time (replay gate) is the record time.
 
     Lines whose pickup field does not parse, headers included, are dropped.
-    ``seq`` is not available from plain text files and is NULL.
+    Plain text files carry no offsets, so ``seq`` (the order that picks the
+    latest record per key) is the pickup time in microseconds; Kafka
+    sources use the real offset.
     """
     r = spark.readStream.format("text")
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
     gated = parse.gate_lines(r.load(path), kind)
-    return gated.select(F.lit(None).cast("bigint").alias("seq"),
+    return gated.select(F.unix_micros("event_ts").alias("seq"),
                         F.col("event_ts").alias("ts"), "value")
 
 
