@@ -257,7 +257,7 @@ def _merged_sql(source: str, extra: str = "") -> str:
             f"from {source}")
 
 
-def flat_merged(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+def flat_merged(df: DataFrame) -> DataFrame:
     cols = [c for c in df.columns if c not in ("pickup_location", "dropoff_location")]
     return df.select(*cols,
                      F.get("pickup_location", 0).alias("pickup_lon"),
