@@ -31,18 +31,6 @@ def pickup_cells(trips: DataFrame, keep: tuple[str, ...] = ("key",)) -> DataFram
                  .where(F.col("grid_id") > F.lit(NOT_IN_AREA)))
 
 
-_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
-
-
-def duration_seconds(text: str) -> int | None:
-    """Seconds of a simple ``"<n> <unit>"`` duration, None if not simple."""
-    parts = text.strip().lower().split()
-    if len(parts) != 2 or not parts[0].isdigit():
-        return None
-    unit = _UNIT_SECONDS.get(parts[1].rstrip("s"))
-    return int(parts[0]) * unit if unit else None
-
-
 def trending(trips: DataFrame, time_col: str = "ts", window: str = WINDOW,
              slide: str = SLIDE, watermark: str | None = None) -> DataFrame:
     """Pickup count per ``(window, grid_id)``.
@@ -50,17 +38,8 @@ def trending(trips: DataFrame, time_col: str = "ts", window: str = WINDOW,
     ``time_col`` is the time base: a Kafka record timestamp for live data,
     the pickup time for backfills.  ``watermark`` bounds streaming state
     (rows later than it are dropped); ignored for batch input.
-
-    Batch input whose window is a whole number of slides is counted per
-    slide-sized pane first (one hash update per trip, combined map-side),
-    and each pane's count is then added to the windows that contain it.
-    ``window()`` itself copies every input row into each of its
-    ``window / slide`` windows before aggregating.
     """
     cells = pickup_cells(trips, keep=(time_col,))
-    size_s, slide_s = duration_seconds(window), duration_seconds(slide)
-    if (not trips.isStreaming and size_s and slide_s and size_s % slide_s == 0):
-        return _trending_by_panes(cells, time_col, slide, size_s, slide_s)
     if watermark and trips.isStreaming:
         cells = cells.withWatermark(time_col, watermark)
     w = F.window(F.col(time_col), window, slide)
@@ -75,19 +54,3 @@ def as_key_value(counts: DataFrame) -> DataFrame:
     """Drop the window bounds: ``key`` = cell, ``value`` = count (INT)."""
     return counts.select(F.col("grid_id").alias("key"),
                          F.col("pickups").cast("int").alias("value"))
-
-
-def _trending_by_panes(cells: DataFrame, time_col: str, slide: str,
-                       size_s: int, slide_s: int) -> DataFrame:
-    panes = (cells.groupBy(F.window(F.col(time_col), slide).start.alias("pane"), "grid_id")
-                  .agg(F.count(F.lit(1)).alias("n")))
-    k = F.explode(F.sequence(F.lit(0), F.lit(size_s // slide_s - 1)))
-    fanned = panes.select("pane", "grid_id", "n", k.alias("k"))
-    start = F.col("pane") - F.make_dt_interval(secs=F.col("k") * F.lit(slide_s))
-    windows = fanned.select(start.alias("window_start"), "grid_id", "n")
-    return (windows.groupBy("window_start", "grid_id")
-                   .agg(F.sum("n").alias("pickups"))
-                   .select("window_start",
-                           (F.col("window_start") + F.make_dt_interval(secs=F.lit(size_s)))
-                           .alias("window_end"),
-                           "grid_id", "pickups"))

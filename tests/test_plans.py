@@ -82,9 +82,3 @@ def test_refined_table_partition_pruning(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(pickup_date" in p
     want = trips.where((F.to_date("pickup_ts") >= "2024-01-10") & (F.to_date("pickup_ts") < "2024-01-12"))
     assert part.count() == want.count() > 0
-
-
-def test_hopping_windows_by_panes(spark):
-    p = _plan(trending.trending(_trips(spark)))
-    assert "Expand" not in p                      # rows are not copied per window
-    assert p.count("partial_count") == 1 and p.count("partial_sum") == 1
