@@ -3,7 +3,9 @@
 Mirrors the correctness gate: row count, column names, and an
 order-insensitive comparison of all values (columns sorted by name).
 
-CLI: ``python tests/oracle_harness.py [sf_dir] [name ...]``
+CLI: ``python tests/oracle_harness.py [sf_dir] [name ...]``; with
+``HARNESS_STRICT=1`` float values must be bit-identical (default: equal to
+9 decimals).
 """
 
 from __future__ import annotations
