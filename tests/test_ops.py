@@ -170,3 +170,14 @@ def test_walk_step_bound_exhaustive_offsets():
         for dx in range(0, 61):
             for dy in range(-60, 61):
                 _walk_py(0, sy, dx, sy + dy)
+
+
+def test_document_shapes(lines):
+    from hackney.operators import documents
+    t = parse.parse_trips(lines([(1, "2013-12-01 00:00:00", GOOD_TRIP.rsplit(",", 2)[0] + ",,")]))
+    (d,) = documents.trip_documents(t).collect()
+    assert d.dropoff_location is None and len(d.pickup_location) == 2
+    assert isinstance(d.trip_time_in_secs, int) and d.trip_time_in_secs == 360
+    f = parse.parse_fares(lines([(2, "2013-12-01 00:00:00", GOOD_FARE)]))
+    fd = documents.fare_documents(f)
+    assert dict(fd.dtypes)["total_amount"] == "float" and fd.first().total_amount == 7.5
