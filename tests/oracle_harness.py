@@ -29,7 +29,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    con.execute("SET TimeZone='UTC'")
+    # DuckDB zone: UTC unless HARNESS_DUCK_TZ names another (oracle texts use
+    # zone-free TIMESTAMP values only, so results must not depend on it)
+    con.execute(f"SET TimeZone='{os.environ.get('HARNESS_DUCK_TZ', 'UTC')}'")
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"
         if os.path.exists(p):
