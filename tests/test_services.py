@@ -102,3 +102,21 @@ def test_service_restart_resumes(spark, tmp_path):
     out = spark.read.json(f"{root}/{kafka.REFINED_FARE_TOPIC}")
     want = parse.parse_fares(fixtures.fare_lines(spark, SF))
     assert out.count() == want.count() == out.select("seq").distinct().count()
+
+
+def test_command_line_service(spark, tmp_path):
+    import os
+    import subprocess
+    import sys
+    root = tmp_path / "topics"
+    fares = fixtures.fare_lines(spark, SF).select("seq", "ts", F.lit("").alias("key"), "value")
+    fares.write.json(str(root / kafka.RAW_FARE_TOPIC))
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=repo)
+    r = subprocess.run([sys.executable, "-m", "hackney.streaming", "refine_fares",
+                        "--root", str(root), "--available-now", "--master", "local[2]",
+                        "--checkpoints", str(tmp_path / "ckpt")],
+                       cwd=repo, env=env, capture_output=True, text=True, timeout=600)
+    assert r.returncode == 0, r.stderr[-2000:]
+    out = spark.read.json(str(root / kafka.REFINED_FARE_TOPIC))
+    assert out.count() == parse.parse_fares(fixtures.fare_lines(spark, SF)).count()
