@@ -73,14 +73,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     machine-local folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:   # Spark Connect: the server owns the checkpoint folder
+        if not path:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")
+        return path
     if not path:
-        path = spark.sparkContext._conf.get("spark.checkpoint.dir", None)
+        path = sc._conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")
         path = tempfile.mkdtemp(prefix="hackney-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 

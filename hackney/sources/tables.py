@@ -16,11 +16,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     a source stored as one unsplittable row group would otherwise run every
     narrow stage after it (parsing, projection) as a single task.
     """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:   # e.g. a Spark Connect session: no RDD view, leave as is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = True) -> DataFrame:
