@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hackney.functions.fields import (FARE_PICKUP_FIELD, TRIP_PICKUP_FIELD, field,
-                                      minute_key, parse_decimal, parse_float,
+                                      key_of, minute_key, parse_decimal, parse_float,
                                       parse_int, parse_time, seconds_between,
                                       split_fields)
 
@@ -70,7 +70,6 @@ def parse_trips(lines: DataFrame, line_col: str = "value") -> DataFrame:
     f = F.col(_FIELDS)
     t = _typed(df, [
         F.size(f).alias("_n"),
-        minute_key(f, TRIP_PICKUP_FIELD).alias("key"),
         field(f, 0).alias("medallion"),
         field(f, 1).alias("hack_license"),
         field(f, 2).alias("vendor_id"),
@@ -87,6 +86,8 @@ def parse_trips(lines: DataFrame, line_col: str = "value") -> DataFrame:
         parse_time(field(f, 5)).alias("pickup_ts"),
         parse_time(field(f, 6)).alias("dropoff_ts"),
     ])
+    t = t.withColumn("key", key_of(F.col("medallion"), F.col("hack_license"),
+                                   F.col("pickup_ts")))
     n = F.col("_n")
     has_dropoff = n > 12
     valid = ((n >= 12) & (n != 13) & F.col("pickup_ts").isNotNull()
@@ -119,7 +120,6 @@ def parse_fares(lines: DataFrame, line_col: str = "value") -> DataFrame:
     f = F.col(_FIELDS)
     t = _typed(df, [
         F.size(f).alias("_n"),
-        minute_key(f, FARE_PICKUP_FIELD).alias("key"),
         field(f, 0).alias("medallion"),
         field(f, 1).alias("hack_license"),
         field(f, 2).alias("vendor_id"),
@@ -128,6 +128,8 @@ def parse_fares(lines: DataFrame, line_col: str = "value") -> DataFrame:
         *[parse_decimal(field(f, 5 + i)).alias(name) for i, name in enumerate(FARE_AMOUNTS)],
         parse_time(field(f, 3)).alias("pickup_ts"),
     ])
+    t = t.withColumn("key", key_of(F.col("medallion"), F.col("hack_license"),
+                                   F.col("pickup_ts")))
     valid = (F.col("_n") >= 11) & (F.col("key") != "")
     for name in FARE_AMOUNTS:
         valid = valid & F.col(name).isNotNull()
