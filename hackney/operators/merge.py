@@ -31,6 +31,13 @@ from hackney.operators.parse import FARE_AMOUNTS
 # The trip/fare correlation window.
 JOIN_WITHIN_SECONDS = 600
 
+# Columns the merged record reads from each side (besides key and seq).
+FARE_MERGE_COLUMNS = ["medallion", "hack_license", "vendor_id", "payment_type",
+                      "pickup_datetime", *FARE_AMOUNTS]
+TRIP_MERGE_COLUMNS = ["rate_code", "store_and_fwd_flag", "passenger_count",
+                      "trip_time_in_secs", "trip_distance", "dropoff_datetime",
+                      "pickup_location", "dropoff_location"]
+
 
 def latest_by_key(df: DataFrame, key: str = "key", order: str = "seq") -> DataFrame:
     """One row per ``key``: the row with the greatest ``order`` value.
@@ -52,8 +59,12 @@ def table_left_join(fares: DataFrame, trips: DataFrame, key: str = "key") -> Dat
     """Latest fare per key LEFT JOIN latest trip per key, merged.
 
     Inputs are raw record streams (several rows per key allowed, ``seq``
-    orders them).
+    orders them).  Only the fields the merged record reads are carried
+    through the aggregates' shuffle (a packed ``max_by`` row is opaque to
+    Catalyst's column pruning).
     """
+    fares = fares.select(key, "seq", *FARE_MERGE_COLUMNS)
+    trips = trips.select(key, "seq", *TRIP_MERGE_COLUMNS)
     f = _prefixed(latest_by_key(fares, key), "f_", key)
     t = _prefixed(latest_by_key(trips, key), "t_", key)
     return merge_record(f.join(t, on=key, how="left"), key=key)

@@ -93,8 +93,9 @@ def table_left_join_stream(fares: DataFrame, trips: DataFrame, key: str = "key",
     Records arriving later than that are dropped.  A fare whose pickup text
     did not parse (key ending ``-``) is windowed on its record time instead.
     """
-    f_cols = [c for c in fares.columns if c != key]
-    t_cols = [c for c in trips.columns if c != key]
+    # only what the merged record reads: smaller state rows
+    f_cols = [order, *merge.FARE_MERGE_COLUMNS]
+    t_cols = [order, *merge.TRIP_MERGE_COLUMNS]
     fare_struct = F.struct(*[F.col(c).alias(c) for c in f_cols])
     trip_struct = F.struct(*[F.col(c).alias(c) for c in t_cols])
     def when_of(df):
