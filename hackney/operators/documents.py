@@ -28,7 +28,9 @@ def trip_documents(trips: DataFrame) -> DataFrame:
         "medallion", "hack_license", "vendor_id", "rate_code", "store_and_fwd_flag",
         "pickup_datetime", "dropoff_datetime",
         F.col("passenger_count").cast("int").alias("passenger_count"),
-        F.col("trip_time_in_secs").cast("int").alias("trip_time_in_secs"),
+        # integer field: a duration beyond INT range (two far-apart dates on a
+        # bad line) becomes NULL instead of failing the task
+        F.col("trip_time_in_secs").try_cast("int").alias("trip_time_in_secs"),
         F.col("trip_distance").cast("float").alias("trip_distance"),
         geo(F.col("pickup_location")).alias("pickup_location"),
         geo(F.col("dropoff_location")).alias("dropoff_location"))

@@ -139,3 +139,15 @@ def test_no_codegen_blowup_on_fixture(spark):
     from hackney.sources import fixtures
     df = parse.parse_trips(fixtures.trip_lines(spark, "/root/testdata/sf0.001"))
     assert df.where(F.col("passenger_count") > 0).count() > 0
+
+
+def test_extreme_dates_do_not_fail_tasks(lines):
+    from hackney.operators import documents
+    f = GOOD_TRIP.split(",")
+    f[5], f[6] = "0001-01-01 00:00:00", "9999-12-31 23:59:59"
+    df = lines([(0, "2013-12-01 00:00:00", ",".join(f))])
+    trips = parse.parse_trips(df)
+    (r,) = trips.select("trip_time_in_secs").collect()   # (year 1 has no Python local time)
+    assert r.trip_time_in_secs > 2**31
+    (d,) = documents.trip_documents(trips).select("trip_time_in_secs").collect()
+    assert d.trip_time_in_secs is None
