@@ -35,13 +35,14 @@ def in_nyc(lon: Column, lat: Column) -> Column:
 
 
 def grid_x(lon: Column) -> Column:
-    """Grid column of a longitude, counted east from the west edge."""
-    return F.floor((_d(abs(LON_WEST)) - F.abs(lon)) / _d(DELTA_LON)).cast("int")
+    """Grid column of a longitude, counted east from the west edge (NULL
+    instead of an overflow error for a coordinate far outside any grid)."""
+    return F.floor((_d(abs(LON_WEST)) - F.abs(lon)) / _d(DELTA_LON)).try_cast("int")
 
 
 def grid_y(lat: Column) -> Column:
     """Grid row of a latitude, counted south from the north edge."""
-    return F.floor((_d(LAT_NORTH) - lat) / _d(DELTA_LAT)).cast("int")
+    return F.floor((_d(LAT_NORTH) - lat) / _d(DELTA_LAT)).try_cast("int")
 
 
 def cell_id(x: Column, y: Column) -> Column:
