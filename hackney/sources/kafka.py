@@ -75,11 +75,19 @@ def to_int_frame(df: DataFrame, key_col: str = "key", value_col: str = "value")
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, stream: bool = True,
-               starting_offsets: str = "earliest") -> DataFrame:
-    """``seq`` (offset), ``ts`` (record time), ``key``, ``value`` as strings."""
+               starting_offsets: str = "earliest",
+               max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """``seq`` (offset), ``ts`` (record time), ``key``, ``value`` as strings.
+
+    ``max_offsets_per_trigger`` bounds a micro-batch, so catching up on a
+    large backlog from ``earliest`` proceeds in sized steps.
+    """
     reader = spark.readStream if stream else spark.read
-    df = (reader.format("kafka").option("kafka.bootstrap.servers", servers)
-                .option("subscribe", topic).option("startingOffsets", starting_offsets).load())
+    reader = (reader.format("kafka").option("kafka.bootstrap.servers", servers)
+                    .option("subscribe", topic).option("startingOffsets", starting_offsets))
+    if stream and max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    df = reader.load()
     return df.select(F.col("offset").alias("seq"), F.col("timestamp").alias("ts"),
                      F.col("key").cast("string").alias("key"),
                      F.col("value").cast("string").alias("value"))

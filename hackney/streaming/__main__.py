@@ -33,6 +33,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--checkpoints", help="checkpoint root (default: spark.checkpoint.dir/services)")
     ap.add_argument("--lateness", help="state bound for windows and joins, e.g. '1 day'")
+    ap.add_argument("--max-per-trigger", type=int,
+                    help="records (Kafka) or files (folders) per micro-batch")
     ap.add_argument("--path", help="replay: text files to read")
     ap.add_argument("--kind", choices=["trip", "fare"], help="replay: line kind")
     ap.add_argument("--target", help="index_*: index name or output folder")
@@ -43,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session(a.master, app_name=f"hackney-{a.service}")
     topics = svc.Topics(fmt="kafka" if a.kafka else "json", servers=a.kafka, root=a.root,
                         trigger={"availableNow": True} if a.available_now else None,
-                        checkpoint_root=a.checkpoints)
+                        checkpoint_root=a.checkpoints, max_per_trigger=a.max_per_trigger)
     late = {"lateness": a.lateness} if a.lateness else {}
     s = a.service
     if s == "replay":

@@ -46,6 +46,7 @@ class Topics:
     root: str | None = None
     trigger: dict | None = None            # None: run continuously
     checkpoint_root: str | None = None     # default: <spark.checkpoint.dir>/services
+    max_per_trigger: int | None = None     # records (Kafka) or files (folders) per batch
 
     def checkpoint(self, spark: SparkSession, name: str) -> str:
         """Stable checkpoint folder of service ``name``: a restart resumes
@@ -56,10 +57,13 @@ class Topics:
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         """Streaming ``seq, ts, key, value`` of a topic, from the earliest."""
         if self.fmt == "kafka":
-            return kafka.read_topic(spark, self.servers, topic, stream=True)
-        return (spark.readStream.format("json").schema(FRAME_SCHEMA)
-                     .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]")
-                     .load(f"{self.root}/{topic}"))
+            return kafka.read_topic(spark, self.servers, topic, stream=True,
+                                    max_offsets_per_trigger=self.max_per_trigger)
+        r = (spark.readStream.format("json").schema(FRAME_SCHEMA)
+                  .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"))
+        if self.max_per_trigger:
+            r = r.option("maxFilesPerTrigger", self.max_per_trigger)
+        return r.load(f"{self.root}/{topic}")
 
     def write(self, frame: DataFrame, topic: str, name: str,
               mode: str = "append") -> StreamingQuery:

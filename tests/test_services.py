@@ -89,7 +89,7 @@ def test_service_restart_resumes(spark, tmp_path):
     from hackney.streaming import services as svc
     root = str(tmp_path / "topics")
     topics = svc.Topics(fmt="json", root=root, trigger={"availableNow": True},
-                        checkpoint_root=str(tmp_path / "ckpt"))
+                        checkpoint_root=str(tmp_path / "ckpt"), max_per_trigger=2)
     fares = fixtures.fare_lines(spark, SF).select("seq", "ts", F.lit("").alias("key"), "value")
     raw = f"{root}/{kafka.RAW_FARE_TOPIC}"
     fares.where("seq < 500").write.json(raw)
