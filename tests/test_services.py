@@ -120,3 +120,21 @@ def test_command_line_service(spark, tmp_path):
     assert r.returncode == 0, r.stderr[-2000:]
     out = spark.read.json(str(root / kafka.REFINED_FARE_TOPIC))
     assert out.count() == parse.parse_fares(fixtures.fare_lines(spark, SF)).count()
+
+
+def test_windowed_merge_service_matches(spark, tmp_path):
+    from hackney.streaming import services as svc
+    root = str(tmp_path / "topics")
+    topics = svc.Topics(fmt="json", root=root, trigger={"availableNow": True},
+                        checkpoint_root=str(tmp_path / "ckpt"))
+    for lines, topic in ((fixtures.trip_lines(spark, SF), kafka.RAW_TRIP_TOPIC),
+                         (fixtures.fare_lines(spark, SF), kafka.RAW_FARE_TOPIC)):
+        lines.select("seq", "ts", F.lit("").alias("key"), "value").write.json(f"{root}/{topic}")
+    _await(svc.refine_trips(spark, topics), svc.refine_fares(spark, topics))
+    _await(svc.merge_trip_fares_windowed(spark, topics, lateness="1 hour"))
+    out = spark.read.json(f"{root}/{kafka.MERGED_TRIP_FARES_TOPIC}")
+    got = sorted((r.fare_seq, r.trip_seq) for r in out.where("trip_seq is not null").collect())
+    batch = merge.interval_left_join(parse.parse_fares(fixtures.fare_lines(spark, SF)),
+                                     parse.parse_trips(fixtures.trip_lines(spark, SF)), "ts", "ts")
+    want = sorted((r.fare_seq, r.trip_seq) for r in batch.where("trip_seq is not null").collect())
+    assert got == want and len(got) > 0
