@@ -82,3 +82,36 @@ def test_hot_driver_and_cell_aggregates(skewed):
     assert n_hot == 1000
     cells = trending.trending(t, window="1 day", slide="1 day").collect()
     assert sum(r.pickups for r in cells) == len(trips)
+
+
+def test_hot_route_pair(spark):
+    """A third of all trips share one endpoint pair: traffic and per-trip
+    cells stay exact (checked with the plain walk)."""
+    from pyspark.sql import functions as F
+    from hackney.operators import routes
+    from test_ops import _walk_py
+    rnd = random.Random(3)
+    rows = []
+    for i in range(900):
+        if i % 3 == 0:
+            p = (-73.98, 40.75, -73.90, 40.70)
+        else:
+            p = (-73.99 + rnd.random() * 0.2, 40.60 + rnd.random() * 0.3,
+                 -73.99 + rnd.random() * 0.2, 40.60 + rnd.random() * 0.3)
+        rows.append((i, str(i), [p[0], p[1]], [p[2], p[3]]))
+    trips = spark.createDataFrame(rows, "seq bigint, key string, pickup_location array<float>, "
+                                        "dropoff_location array<float>")
+    ends = routes.with_endpoints(trips).collect()
+    want_cells = {}
+    want_rows = 0
+    for e in ends:
+        path = _walk_py(e.x1, e.y1, e.x2, e.y2)
+        want_rows += len(path)
+        for c in path:
+            want_cells[c] = want_cells.get(c, 0) + 1
+    got = {r.cell: r.trips for r in routes.cell_traffic(trips).collect()}
+    assert got == want_cells
+    per_trip = routes.trip_route_cells(trips)
+    assert per_trip.count() == want_rows
+    assert per_trip.where(F.col("seq") == 0).count() == len(_walk_py(*[
+        next(e for e in ends if e.seq == 0)[c] for c in ("x1", "y1", "x2", "y2")]))
