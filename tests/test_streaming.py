@@ -197,3 +197,28 @@ def test_table_join_stream_bounded_state_equals_batch(spark):
     assert _sorted(got.where(~timed), cols) == _sorted(batch.where(~timed), cols)
     # fares whose pickup text is bad never match; here they are kept per record minute
     assert {r.key for r in got.where(timed).collect()} == {r.key for r in batch.where(timed).collect()}
+
+
+def test_trending_append_mode_final_only(spark):
+    import datetime as dt
+    base = tempfile.mkdtemp(prefix="hk-app-")
+    rows = _rows(fixtures.trip_lines(spark, SF))
+    src, out = f"{base}/in", f"{base}/out"
+    _write_files(rows, src, 3)
+    counts = jobs.trending_stream(parse.parse_trips(jobs.read_line_files(spark, src)),
+                                  window="1 day", slide="6 hours", lateness="1 hour")
+    _run(counts, "app_a", "append", out)
+    # a far-future trip closes every window; one more batch emits them
+    far = (max(r[1] for r in rows) + dt.timedelta(days=3))
+    line = ("9999999999,9999999999,VTS,1,,2030-01-01 00:00:00,2030-01-01 00:06:00,1,0,1,"
+            "-73.9,40.7,-73.9,40.7")
+    for i, name in enumerate(("zz1", "zz2")):
+        with open(f"{src}/{name}.json", "w") as fh:
+            fh.write(json.dumps({"seq": 10**9 + i, "ts": (far + dt.timedelta(days=i)).isoformat(),
+                                 "value": line}) + "\n")
+        _run(counts, f"app_{name}", "append", out)
+    got = spark.read.parquet(out).where(F.col("window_start") < F.lit(far - dt.timedelta(days=2)))
+    batch = trending.trending(parse.parse_trips(fixtures.trip_lines(spark, SF)),
+                              window="1 day", slide="6 hours")
+    cols = ["window_start", "window_end", "grid_id", "pickups"]
+    assert _sorted(got, cols) == _sorted(batch, cols)     # each window once, final value
