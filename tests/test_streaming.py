@@ -222,3 +222,17 @@ def test_trending_append_mode_final_only(spark):
                               window="1 day", slide="6 hours")
     cols = ["window_start", "window_end", "grid_id", "pickups"]
     assert _sorted(got, cols) == _sorted(batch, cols)     # each window once, final value
+
+
+def test_replayed_batch_replaces_its_output(spark, tmp_path):
+    out = str(tmp_path / "changes")
+    write = jobs.idempotent_batches(out)
+    b0 = spark.createDataFrame([("d1", 1.0), ("d2", 2.0)], "hack_license string, total double")
+    b1 = spark.createDataFrame([("d1", 5.0)], "hack_license string, total double")
+    write(b0, 0)
+    write(b1, 1)
+    write(b1, 1)                      # batch 1 replayed after a failure
+    rows = spark.read.parquet(out)
+    assert rows.count() == 3
+    cur = {r.hack_license: r.total for r in jobs.latest_per_key(rows, ["hack_license"]).collect()}
+    assert cur == {"d1": 5.0, "d2": 2.0}
