@@ -8,9 +8,10 @@ length, so a reader decompresses the frames it asks for and no others.  The
 manifest (one row a file) is a table; a file counts only if the manifest of
 the committed task names it, so files of failed attempts are never read.
 
-Encoding: the tokenizers library encodes each distinct piece of text once.
-Texts are cut before every blank that follows a non-blank; the byte-level
-pattern ends a token there, so the pieces' ids joined are the whole text's ids.
+Encoding: the tokenizers library encodes a distinct piece of text once and a
+worker remembers it.  Texts are cut before every blank that follows a
+non-blank, and around a single line end between non-blanks; the byte-level
+pattern ends a match there, so the pieces' ids joined are the whole text's ids.
 
 Edge cases: a null text is encoded as the empty text (the end id alone); rows
 with equal ids keep one row each, ordered by their text's hash; null ids sort
@@ -41,13 +42,26 @@ from hackney.llm.seekable import SeekableReader, SeekableWriter, read_records
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 FILE_TOKENS = 1 << 24          # a file is closed at this many ids
-CACHE_PIECES = 1 << 18         # distinct pieces a worker remembers
+CACHE_PIECES = 700_000         # distinct pieces a worker remembers (twice)
 
-# White space as Unicode and Python count it, before a plain blank: there a cut
-# at the blank alone would split a run of white space.
-_RUN = re.compile(r"\s ")
+# Two white-space characters in a row, as Unicode and Python count them: a cut
+# inside would split one match of the pattern.
+_RUN = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= )")
-_TAIL = re.compile(r"(.*[^\W\d_])([.,]+)", re.DOTALL)
+# Latin letters, perhaps with full stops or commas behind: one or two matches
+# of the byte-level pattern, known without running it.
+_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*)([.,]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet's rule: printable Latin-1 stands for itself, the
+    other bytes for the code points from 256 on, in order."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_LETTERS = byte_letters()
 
 
 @lru_cache(maxsize=2)
@@ -57,44 +71,66 @@ def load(path: str) -> Tokenizer:
     return tokenizer
 
 
-def split(text: str) -> list[str]:
-    """``text`` cut before each blank that follows a non-blank."""
-    if _RUN.search(text) or text.startswith(" "):
-        return _CUT.split(text)
-    head, *rest = text.split(" ")
-    return [head, *[" " + p for p in rest]]
+class Pieces(dict):
+    """Ids (bytes of ``dtype``) of pieces behind a ``lead`` (a blank or
+    nothing), encoded when first asked for; ``old`` holds those of before."""
+
+    def __init__(self, tokenizer: Tokenizer, dtype: str, lead: str, old: dict | None = None):
+        super().__init__()
+        self.tokenizer, self.dtype, self.lead, self.old = tokenizer, dtype, lead, old or {}
+        self.model = tokenizer.model
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self._encode(piece)
+        self[piece] = ids
+        return ids
+
+    def _encode(self, piece: str) -> bytes:
+        word = _WORD.fullmatch(piece)
+        if word is None or not word[1]:
+            return self._bytes(self.tokenizer.encode(self.lead + piece, add_special_tokens=False).ids)
+        ids = self._merge(self.lead + word[1]) if not word[2] else self[word[1]]
+        return ids + self._merge(word[2]) if word[2] else ids
+
+    def _merge(self, letters: str) -> bytes:
+        """The library's BPE model on one match of the pattern."""
+        mapped = letters.encode().decode("latin-1").translate(_LETTERS)
+        return self._bytes([t.id for t in self.model.tokenize(mapped)])
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.dtype == '<u2' else 'I'}", *ids)
 
 
 class Encoder:
-    """Ids (little-endian bytes of ``dtype``) of texts, by pieces met before."""
+    """Ids of texts by their pieces.  A worker keeps at most about ``cache``
+    pieces of either of two generations; a full one becomes the old one."""
 
     def __init__(self, tokenizer: Tokenizer, dtype: str, cache: int = CACHE_PIECES):
-        self.tokenizer, self.dtype, self.cache = tokenizer, dtype, cache
-        self.known: dict[str, bytes] = {}
-
-    def learn(self, pieces: set[str]) -> None:
-        """Encode the pieces not met before.  Letters and a tail of full stops
-        or commas are apart under the pattern, so they are looked up apart."""
-        parts: dict[str, list[str]] = {}
-        for piece in pieces:
-            tail = _TAIL.fullmatch(piece)
-            parts[piece] = [piece] if tail is None else [tail[1], tail[2]]
-        new = list({x for xs in parts.values() for x in xs} - self.known.keys())
-        for at in range(0, len(new), 4096):
-            block = new[at:at + 4096]
-            for piece, e in zip(block, self.tokenizer.encode_batch_fast(block, add_special_tokens=False), strict=True):
-                self.known[piece] = np.asarray(e.ids, self.dtype).tobytes()
-        for piece, xs in parts.items():
-            if len(xs) > 1:
-                self.known[piece] = self.known[xs[0]] + self.known[xs[1]]
+        self.cache = cache
+        self.heads, self.words, self.wholes = (Pieces(tokenizer, dtype, lead) for lead in ("", " ", ""))
+        self.newline = self.wholes["\n"]
+
+    def _renewed(self, known: Pieces) -> Pieces:
+        if len(known) <= self.cache:
+            return known
+        return Pieces(known.tokenizer, known.dtype, known.lead, dict(known))
+
+    def _text(self, text: str) -> bytes:
+        if _RUN.search(text):
+            return b"".join(map(self.wholes.__getitem__, _CUT.split(text)))
+        words = self.words.__getitem__
+        lines = []
+        for line in text.split("\n"):
+            head, *rest = line.split(" ")
+            lines.append(self.heads[head] + b"".join(map(words, rest)))
+        return self.newline.join(lines)
 
     def encode(self, batch: Sequence[str]) -> list[bytes]:
-        if len(self.known) > self.cache:
-            self.known.clear()
-        cut = [split(t) for t in batch]
-        self.learn({p for ps in cut for p in ps} - self.known.keys())
-        known = self.known
-        return [b"".join([known[p] for p in ps]) for ps in cut]
+        out = list(map(self._text, batch))
+        self.heads, self.words, self.wholes = map(self._renewed, (self.heads, self.words, self.wholes))
+        return out
 
 
 _ENCODERS: dict[tuple, Encoder] = {}      # of this worker
