@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hackney.session import checkpoint_dir
@@ -25,6 +25,7 @@ from hackney.session import checkpoint_dir
 # Rows per Arrow batch: with a few KB a document this is some MB; one batch
 # holds at most this many documents however long they are.
 BATCH_ROWS = 1024
+_STORED: list[str] = []       # paths of this session's stored tables
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -60,10 +61,35 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: computed once, kept
     when executors are lost, and no lineage behind it."""
     path = shared_path(df.sparkSession, name)
+    _STORED.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, keep: DataFrame | None = None) -> None:
+    """Delete the tables this session has `stored`, but for the files of
+    ``keep``.  For callers that know that nothing else is still to be read."""
+    kept = [] if keep is None else [f.split(":", 1)[-1].lstrip("/") for f in keep.inputFiles()]
+    for path in [*_STORED]:
+        if not any(f.startswith(path.split(":", 1)[-1].lstrip("/") + "/") for f in kept):
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            _STORED.remove(path)
+
+
+# A set of keys up to this size is broadcast; a larger one is joined by shuffle.
+BROADCAST_KEYS = 1_000_000
+
+
+def drop_keys(rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """``rows`` whose ``key`` is not in the one-column table ``keys``; that
+    table is stored and counted, and broadcast only if it is small."""
+    keys = stored(keys.toDF("__key"), "keys")
+    if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return rows.join(keys, key == F.col("__key"), "left_anti")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

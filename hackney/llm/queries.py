@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hackney.llm import byte_bpe, common, quality_cascade, token_files, warc_bundles
+from hackney.llm import byte_bpe, common, decontam, quality_cascade, token_files, warc_bundles
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op3_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_bundles.read(warc_bundles.write(common.table(spark, sf_dir, "pages")))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return decontam.contamination(docs, common.table(spark, sf_dir, "benchmark")).drop("text_md5")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_documents(spark, sf_dir))
 
@@ -31,10 +36,36 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.report(_documents(spark, sf_dir))
 
 
+# Words and windows by position; a window that occurs marks its words.
+OP5_SQL = r"""
+with w as (select doc_id, string_split(trim(regexp_replace(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), ' ') as a from documents),
+dw as (select doc_id, case when a = [''] then [] else a end as a from w),
+b as (select item_id, string_split(trim(regexp_replace(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), ' ') as a from benchmark),
+bw as (select item_id, a from b where a <> [''] and item_id is not null),
+q as (select distinct item_id, least(13, len(a)) as n, list_slice(a, k, k + least(13, len(a)) - 1) as win
+      from (select item_id, a, unnest(range(1, greatest(1, len(a) - 12) + 1)) as k from bw)),
+s as (select distinct n from q),
+d as (select doc_id, n, k, list_slice(a, k, k + n - 1) as win
+      from (select doc_id, a, n, unnest(range(1, len(a) - n + 2)) as k from dw, s where len(a) >= n)),
+h as (select d.doc_id, d.k, d.n, q.item_id from d join q on d.n = q.n and d.win = q.win),
+hit as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(k, k + n)) as p from h) group by 1),
+it as (select doc_id, count(*) as n_items, string_agg(i, ',' order by i) as items
+       from (select distinct doc_id, cast(item_id as varchar) as i from h) group by 1)
+select dw.doc_id, cast(len(a) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+       cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(a) as contaminated
+from dw left join hit using (doc_id) left join it using (doc_id)
+"""
+
 # name: (query, DuckDB text or None where SQL cannot express it)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_token_files": (op2_token_files, None),
     "op3_warc_bundles": (op3_warc_bundles, None),
+    "op5_decontamination": (op5_decontamination, OP5_SQL),
     "op7_byte_bpe": (op7_byte_bpe, None),
     "op10_quality_cascade": (op10_quality_cascade, None),
 }
