@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hackney.llm import byte_bpe, common, decontam, quality_cascade, token_files, warc_bundles
+from hackney.llm import byte_bpe, common, decontam, lsh_forest, quality_cascade, token_files, warc_bundles
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_bundles.read(warc_bundles.write(common.table(spark, sf_dir, "pages")))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.join(_documents(spark, sf_dir))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     return decontam.contamination(docs, common.table(spark, sf_dir, "benchmark")).drop("text_md5")
@@ -65,6 +69,7 @@ from dw left join hit using (doc_id) left join it using (doc_id)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_token_files": (op2_token_files, None),
     "op3_warc_bundles": (op3_warc_bundles, None),
+    "op4_ngram_jaccard": (op4_ngram_jaccard, None),
     "op5_decontamination": (op5_decontamination, OP5_SQL),
     "op7_byte_bpe": (op7_byte_bpe, None),
     "op10_quality_cascade": (op10_quality_cascade, None),
