@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hackney.llm import byte_bpe, common, decontam, lsh_forest, quality_cascade, token_files, warc_bundles
+from hackney.llm import byte_bpe, common, decontam, lsh_forest, pii, quality_cascade, token_files, warc_bundles
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_documents(spark, sf_dir))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_documents(spark, sf_dir))
+
+
 def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.report(_documents(spark, sf_dir))
 
@@ -72,5 +76,6 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op4_ngram_jaccard": (op4_ngram_jaccard, None),
     "op5_decontamination": (op5_decontamination, OP5_SQL),
     "op7_byte_bpe": (op7_byte_bpe, None),
+    "op9_pii": (op9_pii, None),
     "op10_quality_cascade": (op10_quality_cascade, None),
 }
