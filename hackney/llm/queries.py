@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hackney.llm import byte_bpe, common, decontam, lsh_forest, pii, quality_cascade, token_files, warc_bundles
+from hackney.llm import attention_lm, byte_bpe, common, decontam, lsh_forest, pii, quality_cascade, token_files, warc_bundles
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(docs, common.table(spark, sf_dir, "benchmark")).drop("text_md5")
 
 
+def op6_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score(_documents(spark, sf_dir))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_documents(spark, sf_dir))
 
@@ -75,6 +79,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op3_warc_bundles": (op3_warc_bundles, None),
     "op4_ngram_jaccard": (op4_ngram_jaccard, None),
     "op5_decontamination": (op5_decontamination, OP5_SQL),
+    "op6_attention_lm": (op6_attention_lm, None),
     "op7_byte_bpe": (op7_byte_bpe, None),
     "op9_pii": (op9_pii, None),
     "op10_quality_cascade": (op10_quality_cascade, None),
