@@ -14,6 +14,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -48,6 +49,19 @@ def prepare(spark: SparkSession) -> None:
     checkpoint_dir(spark)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Arrow batches of ``n`` rows for the jobs run inside: for tables whose
+    rows are blocks of some MB."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

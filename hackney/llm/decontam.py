@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hackney.llm.common import drop_keys, stored
+from hackney.llm.common import batch_rows, drop_keys, stored
 
 WINDOW = 13
 SEGMENT_WORDS = 2_000_000
@@ -308,7 +308,8 @@ def near(segment: Segment, query: Sequence[bytes], order: Sequence[int], slop: i
 def _matches(index: DataFrame, benchmark: DataFrame, size: int | None, slop: int | None) -> DataFrame | None:
     found = None
     for block in blocks(benchmark, size=size):
-        hits = stored(_hit_rows(index, block, word_counts(index, block.vocabulary), slop), "hits")
+        with batch_rows(index.sparkSession, 2):
+            hits = stored(_hit_rows(index, block, word_counts(index, block.vocabulary), slop), "hits")
         found = hits if found is None else found.unionByName(hits)
     return found
 
