@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hackney.llm import attention_lm, byte_bpe, common, decontam, lsh_forest, pii, quality_cascade, token_files, warc_bundles
+from hackney.llm import attention_lm, byte_bpe, common, decontam, lsh_forest, pii, quality_cascade, token_files, toxicity, warc_bundles
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return common.table(spark, sf_dir, "documents")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_documents(spark, sf_dir), common.table(spark, sf_dir, "labels"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.write(_documents(spark, sf_dir)))
 
@@ -75,6 +79,7 @@ from dw left join hit using (doc_id) left join it using (doc_id)
 
 # name: (query, DuckDB text or None where SQL cannot express it)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_toxicity": (op1_toxicity, None),
     "op2_token_files": (op2_token_files, None),
     "op3_warc_bundles": (op3_warc_bundles, None),
     "op4_ngram_jaccard": (op4_ngram_jaccard, None),
