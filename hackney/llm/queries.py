@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hackney.llm import attention_lm, byte_bpe, common, decontam, lsh_forest, pii, quality_cascade, token_files, toxicity, warc_bundles
+from hackney.llm import attention_lm, byte_bpe, common, decontam, licenses, lsh_forest, pii, quality_cascade, token_files, toxicity, warc_bundles
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_documents(spark, sf_dir))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_documents(spark, sf_dir))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_documents(spark, sf_dir))
 
@@ -86,6 +90,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_decontamination": (op5_decontamination, OP5_SQL),
     "op6_attention_lm": (op6_attention_lm, None),
     "op7_byte_bpe": (op7_byte_bpe, None),
+    "op8_licenses": (op8_licenses, None),
     "op9_pii": (op9_pii, None),
     "op10_quality_cascade": (op10_quality_cascade, None),
 }
