@@ -2,29 +2,77 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and
 returns a DataFrame, which is written as Parquet to the shared folder and
-reread as the next stage's docs.
+reread as the next stage's docs.  All but the last return the columns of
+documents.  Tables that a stage stores for itself are deleted when the next
+stage starts: its output is on disk by then.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hackney.llm import byte_bpe, common, decontam, lsh_forest, pii, quality_cascade
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_LAST = [0, 0]      # marks around the tables that the stage before stored
 
-from hackney.llm import byte_bpe, common, quality_cascade
 
+def _stage(f: Stage) -> Stage:
+    @wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        common.prepare(spark)
+        common.release(spark, *_LAST)
+        _LAST[0] = common.stored_so_far()
+        out = f(spark, docs, sf_dir)
+        _LAST[1] = common.stored_so_far()
+        return out
+    return run_stage
 
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+@_stage
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a quality rule rejects go."""
-    common.prepare(spark)
     return quality_cascade.keep_good(docs)
 
 
+@_stage
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of copies and near copies (five-word shingles, 0.8) the
+    document with the smallest doc_id stays."""
+    return lsh_forest.keep_one(docs)
+
+
+@_stage
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go if benchmark windows cover a twentieth of their words."""
+    return decontam.drop_contaminated(docs, common.table(spark, sf_dir, "benchmark"))
+
+
+@_stage
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; n_chars follows the new text."""
+    clean = pii.redact(docs).withColumn("__n", F.length("text").cast("long"))
+    return clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.col("__n"))).drop("__n")
+
+
+@_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of what is left."""
-    common.prepare(spark)
     return byte_bpe.round_trip(docs)
 
 
-STAGES = [("quality_rules", quality), ("byte_bpe", encode)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard", near_duplicates),
+    ("decontamination", decontaminate),
+    ("pii", redact_pii),
+    ("byte_bpe", encode),
+]
 
 # Near duplicates and learned span labels have no SQL form.
 ORACLE_SQL = None
@@ -34,6 +82,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after another over the documents of ``sf_dir``."""
     common.prepare(spark)
     docs = common.table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = common.stored(stage(spark, docs, sf_dir), name)
+        out = stage(spark, docs, sf_dir)
+        mark = common.stored_so_far()
+        docs = common.stored(out, name)
+        if before is not None:
+            common.release(spark, before, before + 1)
+        before = mark
     return STAGES[-1][1](spark, docs, sf_dir)

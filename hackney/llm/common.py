@@ -80,15 +80,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, keep: DataFrame | None = None) -> None:
-    """Delete the tables this session has `stored`, but for the files of
-    ``keep``.  For callers that know that nothing else is still to be read."""
-    kept = [] if keep is None else [f.split(":", 1)[-1].lstrip("/") for f in keep.inputFiles()]
-    for path in [*_STORED]:
-        if not any(f.startswith(path.split(":", 1)[-1].lstrip("/") + "/") for f in kept):
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-            _STORED.remove(path)
+def stored_so_far() -> int:
+    """A mark for `release`: how many tables this process has stored."""
+    return len(_STORED)
+
+
+def release(spark: SparkSession, since: int, until: int) -> None:
+    """Delete the tables stored between two marks.  For callers that know that
+    nothing is still to be read from them."""
+    for path in filter(None, _STORED[since:until]):
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _STORED[since:until] = [""] * (until - since)
 
 
 # A set of keys up to this size is broadcast; a larger one is joined by shuffle.
