@@ -46,7 +46,7 @@ GIVEN_NAMES = ("James Mary Robert Patricia Jennifer Michael Linda David Elizabet
                "Jessica Thomas Sarah Karen Charles Christopher Nancy Daniel Matthew Margaret Anthony Sandra "
                "Hans Klaus Jürgen Ursula Pierre Jacques François Camille José María Carmen Javier").split()
 TOP_DOMAINS = "com org net edu gov mil int info io de fr es it uk us eu ch at nl ca au jp cn br in"
-# Proposed spans; none of them overlaps a base span.
+# Proposed spans, looked for where no base span is.
 LOOSE = {
     "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(] ?(?:at|AT) ?[\])] ?[A-Za-z0-9-]++"
               r"(?: ?[\[(] ?(?:dot|DOT) ?[\])] ?[A-Za-z0-9-]++)++"),
@@ -125,6 +125,12 @@ def _valid(kind: str, hit: Column) -> Column:
     return F.lit(True)
 
 
+def _any_valid(hit: Column) -> Column:
+    """Whether a match of any base pattern is a base span."""
+    return (F.when(hit.contains("@"), True).when(hit.startswith("+"), _valid("phone", hit))
+            .when(hit.contains("."), _valid("ip", hit)).otherwise(_valid("card", hit)))
+
+
 def _validity(kind: str) -> Callable[[Column], Column]:
     return lambda s: _valid(kind, s["hit"])
 
@@ -145,7 +151,7 @@ def _spans(docs: DataFrame, text_col: str) -> DataFrame:
     anything = "|".join(BASE.values())
     hits, gaps = F.regexp_extract_all(text, F.lit(anything), F.lit(0)), F.split(text, anything, -1)
     blot = F.array_join(F.zip_with(gaps, hits, lambda g, h: F.concat(
-        g, F.coalesce(F.regexp_replace(h, r"(?s).", "\u0001"), F.lit("")))), "")
+        g, F.coalesce(F.when(_any_valid(h), F.regexp_replace(h, r"(?s).", "\u0001")).otherwise(h), F.lit("")))), "")
     df = df.withColumn("__rest", F.when(F.size("base") > 0, blot).otherwise(text))
     rest = F.col("__rest")
     some = {k: rest.rlike(p) for k, p in LOOSE.items()}
