@@ -61,7 +61,7 @@ def parse_float(text: Column) -> Column:
     return F.when(t.rlike(DECIMAL_TEXT), t.try_cast("float"))
 
 
-def parse_decimal(text: Column, precision: int = 18, scale: int = 6) -> Column:
+def parse_decimal(text: Column, precision: int = 38, scale: int = 10) -> Column:
     """Decimal text to DECIMAL(precision, scale); blanks or overflow give NULL."""
     return F.when(text.rlike(DECIMAL_TEXT),
                   text.try_cast(f"decimal({precision},{scale})"))

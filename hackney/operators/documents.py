@@ -2,7 +2,7 @@
 
 The document index maps trip fields to keyword / date / integer / float /
 geo_point and fare amounts to float.  These functions project records to
-exactly those fields; :func:`hackney.sources.sinks.write_documents` ships
+exactly those fields; :func:`hackney.streaming.services.write_documents` ships
 them.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hackney.functions.fields import parse_time
 from hackney.operators.parse import FARE_AMOUNTS
 
 # Index names and document types.
@@ -37,7 +38,10 @@ def trip_documents(trips: DataFrame) -> DataFrame:
 
 
 def fare_documents(fares: DataFrame) -> DataFrame:
-    """Mapped fare fields, amounts as FLOAT."""
+    """Mapped fare fields, amounts as FLOAT.  The pickup time is a date field
+    of the index, so a text that is no time becomes NULL."""
+    pickup = F.col("pickup_datetime")
     return fares.select(
-        "medallion", "hack_license", "vendor_id", "pickup_datetime", "payment_type",
+        "medallion", "hack_license", "vendor_id",
+        F.when(parse_time(pickup).isNotNull(), pickup).alias("pickup_datetime"), "payment_type",
         *[F.col(a).cast("float").alias(a) for a in FARE_AMOUNTS])

@@ -94,8 +94,7 @@ def parse_trips(lines: DataFrame, line_col: str = "value") -> DataFrame:
              & F.col("dropoff_ts").isNotNull() & F.col("passenger_count").isNotNull()
              & F.col("trip_distance").isNotNull() & F.col("_plon").isNotNull()
              & F.col("_plat").isNotNull()
-             & (~has_dropoff | (F.col("_dlon").isNotNull() & F.col("_dlat").isNotNull()))
-             & (F.col("key") != ""))
+             & (~has_dropoff | (F.col("_dlon").isNotNull() & F.col("_dlat").isNotNull())))
     passthrough = [c for c in lines.columns if c != line_col]
     return t.where(valid).select(
         *passthrough, "key", "medallion", "hack_license", "vendor_id", "rate_code",
@@ -112,7 +111,7 @@ def parse_fares(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """Fare lines to refined fare records.
 
     A line is kept when it has at least 11 fields and all six amounts are
-    plain decimal text (held as DECIMAL(18,6)).  The pickup time is not
+    plain decimal text (held as DECIMAL(38,10)).  The pickup time is not
     checked; when it does not parse the key ends in ``-`` and ``pickup_ts``
     is NULL.
     """
@@ -130,7 +129,7 @@ def parse_fares(lines: DataFrame, line_col: str = "value") -> DataFrame:
     ])
     t = t.withColumn("key", key_of(F.col("medallion"), F.col("hack_license"),
                                    F.col("pickup_ts")))
-    valid = (F.col("_n") >= 11) & (F.col("key") != "")
+    valid = F.col("_n") >= 11
     for name in FARE_AMOUNTS:
         valid = valid & F.col(name).isNotNull()
     passthrough = [c for c in lines.columns if c != line_col]

@@ -418,8 +418,8 @@ def q_trip_documents(spark, sf_dir):
 
 
 @register("fare_documents", O.with_ctes(
-    "select medallion, hack_license, vendor_id, pickup_datetime, payment_type, "
-    + ", ".join(f"cast({a} as float) as {a}" for a in parse.FARE_AMOUNTS) + " from fares"))
+    "select medallion, hack_license, vendor_id, case when pu_ts is not null then pickup_datetime end as pickup_datetime, "
+    "payment_type, " + ", ".join(f"cast({a} as float) as {a}" for a in parse.FARE_AMOUNTS) + " from fares"))
 def q_fare_documents(spark, sf_dir):
     from hackney.operators.documents import fare_documents
     return fare_documents(fares(spark, sf_dir))

@@ -16,12 +16,12 @@ _BASE = """b as (select event_id as seq, ts, cast(2013000000+user_id as varchar)
  concat('-',concat(cast((74080000 - ((event_id*31) % 10)*40000) // 1000000 as varchar),'.',lpad(cast((74080000 - ((event_id*31) % 10)*40000) % 1000000 as varchar),6,'0'))) lon2, concat(cast((40450000 + ((event_id*59) % 12)*50000) // 1000000 as varchar),'.',lpad(cast((40450000 + ((event_id*59) % 12)*50000) % 1000000 as varchar),6,'0')) lat2 from events)"""
 
 _TRIP_LINES = """trip_lines as (select seq, ts, case when seq % 101=0 then 'medallion, hack_license, vendor_id, rate_code, store_and_fwd_flag, pickup_datetime, dropoff_datetime, passenger_count, trip_time_in_secs, trip_distance, pickup_longitude, pickup_latitude, dropoff_longitude, dropoff_latitude'
- when seq % 109=0 then concat_ws(',',med,hack,vendor,'1','',pu,dof,pax)
- else concat_ws(',',med,hack,vendor,'1','',case when seq % 113=0 then 'not-a-date' else pu end,dof,case when seq % 103=0 then 'x' else pax end,'0',concat(cast((c) // 100 as varchar),'.',lpad(cast((c) % 100 as varchar),2,'0')),lon,lat,case when seq % 107=0 then '' else lon2 end,case when seq % 107=0 then '' else lat2 end) end as value from b where seq % 10 <> 3)"""
+ when seq % 109=0 then concat_ws(',',case when seq % 10=3 then concat('2014',substr(med,5)) else med end,hack,vendor,'1','',pu,dof,pax)
+ else concat_ws(',',case when seq % 10=3 then concat('2014',substr(med,5)) else med end,hack,vendor,'1','',case when seq % 113=0 then 'not-a-date' else pu end,dof,case when seq % 103=0 then 'x' else pax end,'0',concat(cast((c) // 100 as varchar),'.',lpad(cast((c) % 100 as varchar),2,'0')),lon,lat,case when seq % 107=0 then '' else lon2 end,case when seq % 107=0 then '' else lat2 end) end as value from b)"""
 
 _FARE_LINES = """fare_lines as (select seq, ts, case when seq % 101=0 then 'medallion, hack_license, vendor_id, pickup_datetime, payment_type, fare_amount, surcharge, mta_tax, tip_amount, tolls_amount, total_amount'
- when seq % 109=0 then concat_ws(',',med,hack,vendor,pu)
- else concat_ws(',',med,hack,vendor,case when seq % 113=0 then 'not-a-date' else pu end,case seq % 5 when 0 then 'CSH' when 1 then 'CRD' when 2 then 'CAS' when 3 then 'cas' else 'DIS' end,case when seq % 103=0 then 'x' else concat(cast((c) // 100 as varchar),'.',lpad(cast((c) % 100 as varchar),2,'0')) end,'0.5','0.5',concat(cast((c % 500) // 100 as varchar),'.',lpad(cast((c % 500) % 100 as varchar),2,'0')),'0',concat(cast((c + 100 + c % 500) // 100 as varchar),'.',lpad(cast((c + 100 + c % 500) % 100 as varchar),2,'0'))) end as value from b where seq % 10 <> 7)"""
+ when seq % 109=0 then concat_ws(',',case when seq % 10=7 then concat('2015',substr(med,5)) else med end,hack,vendor,pu)
+ else concat_ws(',',case when seq % 10=7 then concat('2015',substr(med,5)) else med end,hack,vendor,case when seq % 113=0 then 'not-a-date' else pu end,case seq % 5 when 0 then 'CSH' when 1 then 'CRD' when 2 then 'CAS' when 3 then 'cas' else 'DIS' end,case when seq % 103=0 then 'x' else concat(cast((c) // 100 as varchar),'.',lpad(cast((c) % 100 as varchar),2,'0')) end,'0.5','0.5',concat(cast((c % 500) // 100 as varchar),'.',lpad(cast((c % 500) % 100 as varchar),2,'0')),'0',concat(cast((c + 100 + c % 500) // 100 as varchar),'.',lpad(cast((c + 100 + c % 500) % 100 as varchar),2,'0'))) end as value from b)"""
 
 TIME_FMT = "'%Y-%m-%d %H:%M:%S'"
 INT_RE = "'[+-]?[0-9]+'"
@@ -38,7 +38,7 @@ def _int(x: str) -> str:
 
 
 def _dec(x: str) -> str:
-    return f"(case when regexp_full_match({x}, {DEC_RE}) then try_cast({x} as decimal(18,6)) end)"
+    return f"(case when regexp_full_match({x}, {DEC_RE}) then try_cast({x} as decimal(38,10)) end)"
 
 
 def _key(pickup_idx1: str) -> str:

@@ -20,16 +20,16 @@ SQL_CONF = {
     # only when its measured shuffle output is below 32 MB.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Long text keys (medallion + licence + minute) keep state stores large;
+    # RocksDB keeps them off the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 # Settings every job relies on.
 BASE_CONF = {
     **SQL_CONF,
     "spark.ui.enabled": "false",
-    # Long text keys (medallion + licence + minute) keep state stores large;
-    # RocksDB keeps them off the JVM heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -66,8 +66,9 @@ def apply_sql_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` as the cluster names it (a
-    shared file system path every executor can reach).  Only when it is unset
+    On a cluster this is ``spark.checkpoint.dir`` as the cluster names it, or
+    the folder given to ``setCheckpointDir`` (a shared file system path every
+    executor can reach).  Only when it is unset
     and the master is local, as in tests, a fresh folder is made and
     registered; a cluster without the setting is an error, never a
     machine-local folder.
@@ -80,7 +81,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")
         return path
     if not path:
-        path = sc._conf.get("spark.checkpoint.dir", None)
+        path = sc._conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")

@@ -40,7 +40,7 @@ REFINED_TRIP_SCHEMA = T.StructType([
 REFINED_FARE_SCHEMA = T.StructType(
     [T.StructField(c, _S) for c in ("medallion", "hack_license", "vendor_id",
                                     "pickup_datetime", "payment_type")]
-    + [T.StructField(c, T.DecimalType(18, 6)) for c in
+    + [T.StructField(c, T.DecimalType(38, 10)) for c in
        ("fare_amount", "surcharge", "mta_tax", "tip_amount", "tolls_amount", "total_amount")])
 
 STATEMENT_SCHEMA = T.StructType([

@@ -8,25 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's
-    parallelism) when it arrives in fewer partitions than that.
-
-    A large source is read in thousands of splits and is returned untouched;
-    a source stored as one unsplittable row group would otherwise run every
-    narrow stage after it (parsing, projection) as a single task.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:   # e.g. a Spark Connect session: no RDD view, leave as is
-        return df
-    return df if have >= want else df.repartition(want)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_out else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 PARTITION_COL = "pickup_date"
@@ -36,14 +19,15 @@ def write_refined(df: DataFrame, path: str, time_col: str = "pickup_ts",
                   mode: str = "append") -> None:
     """Store refined records as parquet partitioned by pickup date.
 
-    Rows are range-partitioned by (date, time) before the write: each task
-    holds a contiguous time slice, so it writes files for one or two dates,
-    and a date holding a third of all rows is cut into many slices instead
-    of landing in one task.  Later reads with a time range prune whole
+    Rows are range-partitioned by (date, time, row hash) before the write: each
+    task holds a contiguous time slice, so it writes files for one or two
+    dates, and a date, a time or the rows without one, holding a third of all
+    rows, are cut into many slices instead of landing in one task.  Later reads with a time range prune whole
     dates.  Records without a pickup time go to the default partition.
     """
     out = df.withColumn(PARTITION_COL, F.to_date(F.col(time_col)))
-    (out.repartitionByRange(PARTITION_COL, time_col)
+    spread = F.xxhash64(*df.columns)
+    (out.repartitionByRange(PARTITION_COL, time_col, spread)
         .write.mode(mode).partitionBy(PARTITION_COL).parquet(path))
 
 

@@ -33,6 +33,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--checkpoints", help="checkpoint root (default: spark.checkpoint.dir/services)")
     ap.add_argument("--lateness", help="state bound for windows and joins, e.g. '1 day'")
+    ap.add_argument("--time-col", choices=["ts", "pickup_ts"],
+                    help="windows: record time (ts, the default) or pickup time (for a replay)")
     ap.add_argument("--max-per-trigger", type=int,
                     help="records (Kafka) or files (folders) per micro-batch")
     ap.add_argument("--path", help="replay: text files to read")
@@ -47,6 +49,7 @@ def main(argv: list[str] | None = None) -> int:
                         trigger={"availableNow": True} if a.available_now else None,
                         checkpoint_root=a.checkpoints, max_per_trigger=a.max_per_trigger)
     late = {"lateness": a.lateness} if a.lateness else {}
+    timed = {**late, "time_col": a.time_col} if a.time_col else late
     s = a.service
     if s == "replay":
         if not (a.path and a.kind):
@@ -55,14 +58,18 @@ def main(argv: list[str] | None = None) -> int:
     elif s in ("index_trips", "index_fares"):
         queries = [getattr(svc, s)(spark, topics, fmt=a.format, target=a.target)]
     elif s == "driver_payments":
-        queries = svc.driver_payments(spark, topics, **late)
-    elif s in ("merge_trip_fares", "merge_trip_fares_windowed", "trending_grid",
-               "payment_summary"):
+        queries = svc.driver_payments(spark, topics, **timed)
+    elif s in ("trending_grid", "payment_summary"):
+        queries = [getattr(svc, s)(spark, topics, **timed)]
+    elif s in ("merge_trip_fares", "merge_trip_fares_windowed"):
         queries = [getattr(svc, s)(spark, topics, **late)]
     else:
         queries = [getattr(svc, s)(spark, topics)]
+    if not a.available_now:      # services run until one of them ends
+        spark.streams.awaitAnyTermination()
     for q in queries:
-        q.awaitTermination()
+        if a.available_now or not q.isActive:
+            q.awaitTermination()
     failed = [q for q in queries if q.exception() is not None]
     return 1 if failed else 0
 

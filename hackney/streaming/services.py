@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from hackney.functions.fields import parse_time
+from hackney.functions.fields import minute_key, parse_time, split_fields
 from hackney.operators import documents, parse, payments, trending
 from hackney.session import checkpoint_dir
 from hackney.sources import kafka
@@ -100,7 +100,13 @@ def refine_fares(spark: SparkSession, topics: Topics) -> StreamingQuery:
 
 
 def _refined(spark, topics, topic, schema) -> DataFrame:
-    return kafka.from_kafka_json(topics.read(spark, topic), schema, keep=("seq", "ts"))
+    """Records of a JSON topic; with ``pickup_ts``/``dropoff_ts`` where the
+    record has those texts, so every service can window on event time."""
+    df = kafka.from_kafka_json(topics.read(spark, topic), schema, keep=("seq", "ts"))
+    for name in ("pickup", "dropoff"):
+        if f"{name}_datetime" in df.columns:
+            df = df.withColumn(f"{name}_ts", parse_time(F.col(f"{name}_datetime")))
+    return df
 
 
 _MERGED = ["medallion", "hack_license", "vendor_id", "payment_type", "fare_amount", "surcharge",
@@ -115,9 +121,6 @@ def merge_trip_fares(spark: SparkSession, topics: Topics,
     keyed state (see :func:`hackney.streaming.jobs.table_left_join_stream`)."""
     trips = _refined(spark, topics, kafka.REFINED_TRIP_TOPIC, kafka.REFINED_TRIP_SCHEMA)
     fares = _refined(spark, topics, kafka.REFINED_FARE_TOPIC, kafka.REFINED_FARE_SCHEMA)
-    if lateness is not None:
-        trips = trips.withColumn("pickup_ts", parse_time(F.col("pickup_datetime")))
-        fares = fares.withColumn("pickup_ts", parse_time(F.col("pickup_datetime")))
     merged = jobs.table_left_join_stream(fares, trips, lateness=lateness)
     frame = kafka.to_kafka_frame(merged, "key", _MERGED, keep=("fare_seq", "trip_seq"))
     return topics.write(frame, kafka.MERGED_TRIP_FARES_TOPIC, "merge_trip_fares", mode="update")
@@ -167,16 +170,26 @@ def payment_summary(spark: SparkSession, topics: Topics, time_col: str = "ts",
 
 
 def driver_payments(spark: SparkSession, topics: Topics, **kw) -> list[StreamingQuery]:
-    """Both payment stages: statements, and the summary reading them back."""
-    return [payment_statements(spark, topics), payment_summary(spark, topics, **kw)]
+    """Both payment stages: statements, and the summary reading them back.
+
+    In one-shot mode the summary starts when the statements are complete, so
+    that it reads all of them."""
+    statements = payment_statements(spark, topics)
+    if "availableNow" in (topics.trigger or {}):
+        statements.awaitTermination()
+    return [statements, payment_summary(spark, topics, **kw)]
 
 
 def replay_lines(spark: SparkSession, path: str, kind: str, topics: Topics,
                  topic: str | None = None) -> StreamingQuery:
-    """Text files -> raw topic with an empty key; headers and lines with a
-    bad pickup time are dropped; the pickup time becomes the record time."""
+    """Text files -> raw topic, keyed by the correlation key, so that a replay
+    spreads over all partitions and a key's records keep their order.  Headers
+    and lines with a bad pickup time are dropped.  In folder topics the pickup
+    time becomes the record time; a Kafka topic stamps its own, so windows of a
+    replay take ``time_col="pickup_ts"``."""
     lines = jobs.read_text_lines(spark, path, kind, files_per_trigger=None)
-    frame = lines.select("seq", "ts", F.lit("").alias("key"), "value")
+    idx = parse.TRIP_PICKUP_FIELD if kind == "trip" else parse.FARE_PICKUP_FIELD
+    frame = lines.select("seq", "ts", minute_key(split_fields(F.col("value")), idx).alias("key"), "value")
     topic = topic or (kafka.RAW_TRIP_TOPIC if kind == "trip" else kafka.RAW_FARE_TOPIC)
     return topics.write(frame, topic, f"replay_{kind}")
 

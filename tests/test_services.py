@@ -82,7 +82,7 @@ def test_replay_lines(spark, tmp_path):
     assert q.exception() is None
     out = spark.read.json(str(tmp_path / "topics" / kafka.RAW_FARE_TOPIC))
     rows = out.collect()
-    assert len(rows) == 2 and {r.key for r in rows} == {""}
+    assert len(rows) == 2 and {r.key for r in rows} == {"20130086812013007085201312010000", "20130086812013007085201312010005"}
 
 
 def test_service_restart_resumes(spark, tmp_path):
