@@ -178,6 +178,36 @@ def test_model_gradients_and_scores():
     assert abs(total - 1) < 1e-3
 
 
+def test_words_are_mixed_with_their_share():
+    rng = np.random.default_rng(1)
+    said, c, sizes = -rng.random(9) * 8, rng.integers(0, 4, 9), np.asarray([4, 1, 4])
+    got = attention_lm.mixtures(said, c, 50, sizes)
+    want = np.log10(np.asarray(attention_lm.MIXES)[None, :] * np.exp(said)[:, None] + (1 - np.asarray(attention_lm.MIXES))[None, :] * c[:, None] / 50)
+    assert np.allclose(got, [want[:4].sum(0), want[4:5].sum(0), want[5:].sum(0)])
+    assert np.allclose(attention_lm.mixtures(said, c, 0, sizes)[2], said[5:].sum() / np.log(10))
+
+
+def test_odd_white_space_inside_words(spark):
+    enc = attention_lm.encoding(attention_lm.public_tokenizers.path(attention_lm.RANK_FILE))
+    nb = "\u00a0"
+    vocabulary = [w.encode() for w in (nb, nb * 2, "a" + nb, nb + "b", "\u3000", "plain", "it's", "\u00e9t\u00e9")]
+    flat, ends = attention_lm.word_ids(vocabulary, enc)
+    assert len(ends) == len(vocabulary)
+    parts = np.split(flat, ends[:-1])
+    assert [enc.decode_bytes(x.tolist()) for x in parts] == [b" " + w for w in vocabulary]
+    got = attention_lm.score(frame(spark, [f"x {nb} {nb}{nb} y", f"{nb} {nb} {nb}{nb}", "x y"])).collect()
+    assert sorted(r.n_tokens for r in got) == [3, 4, 5] and all(r.score < 0 for r in got)
+
+
+def test_model_learns_the_words(spark):
+    """Held-out texts of the training texts' words are likelier than by the base score."""
+    rng = random.Random(4)
+    vocabulary = [f"term{rng.randrange(10 ** 6)}" for _ in range(60)]
+    texts = [" ".join(f"{w} follows" if k % 2 else w for k, w in enumerate(rng.choices(vocabulary, k=40))) for _ in range(120)]
+    held = [r for r in attention_lm.score(frame(spark, texts)).collect() if r.held_out]
+    assert held and sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
 def test_each_id_is_scored_once():
     for n in (1, 5, attention_lm.CONTEXT, attention_lm.CONTEXT + 1, 200):
         _, k = attention_lm._starts(np.asarray([n]))
