@@ -42,7 +42,8 @@ TRIP_MERGE_COLUMNS = ["rate_code", "store_and_fwd_flag", "passenger_count",
 def latest_by_key(df: DataFrame, key: str = "key", order: str = "seq") -> DataFrame:
     """One row per ``key``: the row with the greatest ``order`` value.
 
-    ``order`` must be unique per key (a source offset); Kafka offsets are per
+    ``order`` must be unique per key (a source offset, or the ``place`` of a
+    text line); Kafka offsets are per
     partition, and a key always maps to one partition, so they qualify.
     """
     others = [c for c in df.columns if c != key]

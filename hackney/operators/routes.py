@@ -6,9 +6,9 @@ each distinct endpoint-cell pair is walked once:
 
 * ``cell_traffic``: count trips per pair (partial aggregation, so a hot pair
   costs one row per task), walk each pair, explode, sum per cell.
-* ``trip_route_cells``: walk the distinct pairs, ``posexplode`` each walk
-  into ``(pair, pos, cell)`` rows, then equi-join the trips to them on the
-  four cell coordinates.  The number of distinct pairs has no small proven
+* ``trip_route_cells``: walk the distinct pairs, equi-join the trips to the
+  walks (one row a pair) on the four cell coordinates, and ``posexplode``
+  after the join, so that a walk's cells are not shuffled.  The number of distinct pairs has no small proven
   bound (up to cells squared), so the join is sort-merge, never broadcast;
   AQE's skew handling splits the trip side of a pair that dominates.
 """
@@ -105,16 +105,25 @@ def trip_route_cells(trips: DataFrame, keep: tuple[str, ...] = ("seq", "key")) -
     over the source, and a lineage cut that a lost executor cannot undo.
     """
     ends = with_endpoints(trips, keep).checkpoint(eager=True)
-    steps = (ends.select(*PAIR).distinct()
-                 .select(*PAIR, F.posexplode(walk_cells(*[F.col(c) for c in PAIR]))
-                         .alias("pos", "cell")))
-    return (ends.join(steps.hint("merge"), on=PAIR, how="inner")
-                .select(*keep, "pos", "cell"))
+    # The outer form, as the inner one adds a filter on the walk's size, which
+    # Catalyst pushes below the distinct: a walk per trip.  No walk is empty.
+    walks = (_spread(ends.select(*PAIR).distinct())
+             .select(*PAIR, walk_cells(*[F.col(c) for c in PAIR]).alias("_walk")))
+    return (ends.join(walks.hint("merge"), on=PAIR, how="inner")
+                .select(*keep, F.posexplode_outer("_walk").alias("pos", "cell")))
+
+
+def _spread(pairs: DataFrame) -> DataFrame:
+    """Pairs are few bytes but long walks: a set number of partitions, which
+    AQE does not merge by size.  By a hash of the pair: a repartition on the
+    grouping's own columns would be dropped as done already."""
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(n, F.xxhash64(*PAIR))
 
 
 def cell_traffic(trips: DataFrame) -> DataFrame:
     """``cell, trips``: number of trips whose way passes each cell."""
     pairs = (with_endpoints(trips, keep=())
              .groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n")))
-    walked = pairs.select(F.explode(walk_cells(*[F.col(c) for c in PAIR])).alias("cell"), "n")
+    walked = _spread(pairs).select(F.explode(walk_cells(*[F.col(c) for c in PAIR])).alias("cell"), "n")
     return walked.groupBy("cell").agg(F.sum("n").alias("trips"))

@@ -230,12 +230,12 @@ _LATEST_FARE_SQL = "latest_fare as (select * from fares qualify row_number() ove
 
 @register("latest_trips", O.with_ctes(f"select {_TRIP_OUT} from latest_trip", _LATEST_TRIP_SQL))
 def q_latest_trips(spark, sf_dir):
-    return flat_trips(merge.latest_by_key(trips(spark, sf_dir)))
+    return flat_trips(merge.latest_by_key(trips(spark, sf_dir).select("seq", "key", *parse.TRIP_COLUMNS)))
 
 
 @register("latest_fares", O.with_ctes(f"select {_FARE_OUT} from latest_fare", _LATEST_FARE_SQL))
 def q_latest_fares(spark, sf_dir):
-    return flat_fares(merge.latest_by_key(fares(spark, sf_dir)))
+    return flat_fares(merge.latest_by_key(fares(spark, sf_dir).select("seq", "key", *parse.FARE_COLUMNS)))
 
 
 def _merged_sql(source: str, extra: str = "") -> str:

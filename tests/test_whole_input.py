@@ -5,9 +5,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from hackney.operators import parse, payments
+from hackney.operators import merge, parse, payments
 from hackney.plans.catalog import REGISTRY
 from hackney.sources import fixtures, kafka, tables
+from hackney.sources.lines import read_lines
 from hackney.streaming import services as svc
 
 SF = "/root/testdata/sf0.001"
@@ -24,6 +25,25 @@ def test_no_reshuffle_of_the_source(spark, name):
     assert "RoundRobinPartitioning" not in plan
 
 
+def test_latest_follows_the_order_of_the_files(spark, tmp_path):
+    """Spark numbers the lines of the largest file first; the place does not."""
+    line = "med,hack,VTS,2013-12-01 00:00:00,{},6.5,0.5,0.5,0,0,7.5\n"
+    for name, text in (("a", line.format("OLD")), ("b", line.format("NEW") * 2000), ("c", line.format("LAST"))):
+        (tmp_path / name).write_text(text)
+    fares = parse.parse_fares(read_lines(spark, str(tmp_path), "fare"))
+    (row,) = merge.latest_by_key(fares, order="place").collect()
+    assert fares.count() == 2002 and row.payment_type == "LAST"
+
+
+@pytest.mark.parametrize("name", ["route_cells", "route_cell_traffic"])
+def test_walks_are_spread_and_exploded_after_the_join(spark, name):
+    plan = REGISTRY[name][0](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+    if name == "route_cells":
+        assert plan.index("Generate posexplode") < plan.index("SortMergeJoin")
+    assert plan.count("aggregate(") == 1
+
+
 def test_key_is_formatted_once(spark):
     plan = parse.parse_trips(fixtures.trip_lines(spark, SF))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("date_format(pickup_ts") <= 1
