@@ -50,3 +50,15 @@ def test_every_training_text_fits_the_mixture():
     c = np.append(attention_lm._list(row["train"]), 45)
     _, fits = attention_lm._tries(attention_lm.initial(classes, counts), classes, row, c, int(c.sum()))
     assert [f is not None for f in fits] == (~attention_lm._list(row["held"])).tolist()
+
+
+def test_later_windows_and_less_frequent_pairs_keep_their_share():
+    counts = np.arange(attention_lm.N_IDS, 0, -1).astype(float)
+    size = attention_lm.PAIRED + 1
+    pairs = np.zeros((size, size))
+    pairs[1500, 1800] = 100
+    starts = np.ones(attention_lm.N_IDS)
+    classes = attention_lm.classes_of(counts, np.ones((attention_lm.N_IDS, attention_lm.ANCHORS + 1)), pairs, starts)
+    assert classes.pairs[classes.slot[1500], classes.slot[1800]] > 0.9
+    # In later windows an id has at least 8 ids before it.
+    assert attention_lm.CONTEXT - attention_lm.STRIDE >= 8 and attention_lm.ROUNDS >= 3
