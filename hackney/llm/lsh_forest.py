@@ -143,7 +143,7 @@ class Signer:
         return prefix.T
 
 
-def signed(docs: DataFrame, id_col: str, text_col: str, trees: int, depth: int) -> DataFrame:
+def signed(docs: DataFrame, id_col: str, text_col: str, trees: int, depth: int, row: Column) -> DataFrame:
     """``row, id, key, prefixes`` of every row, stored.  ``key`` tells texts
     apart (MD5 of the words); ``prefixes`` is null for a text without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +159,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, trees: int, depth: int)
                                              ["row", "id", "key", "prefixes"])
 
     norm = normalised(F.col(text_col))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
+    rows = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("id"),
                        F.unhex(F.md5(norm.cast("binary"))).alias("key"), norm.alias("norm"))
     return stored(rows.mapInArrow(run, "row long, id long, key binary, prefixes array<long>"), "signatures")
 
@@ -351,10 +351,10 @@ def components(edges: DataFrame, a: str = "key", b: str = "root") -> DataFrame:
 # ---- the join
 
 def _joined(docs: DataFrame, id_col: str, text_col: str, threshold: float, trees: int, max_depth: int,
-            recall: float) -> DataFrame:
+            recall: float, row: Column) -> DataFrame:
     """``row, id, key, n_copies, n_texts, n_links, group`` of each row."""
     depth = depth_for(threshold, trees, max_depth, recall)
-    rows = signed(docs, id_col, text_col, trees, depth)
+    rows = signed(docs, id_col, text_col, trees, depth, row)
     classes = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.first("prefixes").alias("prefixes")), "classes")
     buckets = classes.select("key", F.posexplode("prefixes").alias("tree", "prefix"))
     shared = buckets.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("bucket_size")).where("bucket_size > 1")
@@ -386,7 +386,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     to, copies included), ``n_texts`` (different texts it is linked to),
     ``n_copies`` (documents with the same words, itself included) and
     ``group_size``."""
-    joined = stored(_joined(docs, id_col, text_col, threshold, trees, max_depth, recall), "joined")
+    joined = stored(_joined(docs, id_col, text_col, threshold, trees, max_depth, recall,
+                            F.monotonically_increasing_id()), "joined")
     groups = joined.groupBy("group").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("group_size"))
     return (joined.join(groups, "group")
             .select(F.col("id").alias(id_col), "class_id", "n_links", "n_texts", F.col("size").alias("n_copies"), "group_size"))
@@ -394,10 +395,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group: the one with the smallest id (of
-    rows with that id, the first in the table).  ``docs`` must be a stored
-    table, as its rows are told by their place in it."""
-    joined = stored(_joined(docs, id_col, text_col, THRESHOLD, TREES, MAX_DEPTH, RECALL), "joined")
+    rows with that id, the first in the table).  Rows are told by a number that
+    is stored with them: one computed anew in each scan follows the scan's
+    splits, which change with the live cores."""
+    docs = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    joined = stored(_joined(docs, id_col, text_col, THRESHOLD, TREES, MAX_DEPTH, RECALL, F.col("__row")), "joined")
     first = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))
     kept = joined.groupBy("group").agg(F.min(first).getField("row").alias("kept"))
     others = joined.join(kept, "group").where("row <> kept").select("row")
-    return drop_keys(docs.withColumn("__row", F.monotonically_increasing_id()), F.col("__row"), others).drop("__row")
+    return drop_keys(docs, F.col("__row"), others).drop("__row")

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from hackney.llm import attention_lm, common
+from hackney.llm import attention_lm, common, lsh_forest
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -62,3 +62,22 @@ def test_later_windows_and_less_frequent_pairs_keep_their_share():
     assert classes.pairs[classes.slot[1500], classes.slot[1800]] > 0.9
     # In later windows an id has at least 8 ids before it.
     assert attention_lm.CONTEXT - attention_lm.STRIDE >= 8 and attention_lm.ROUNDS >= 3
+
+
+def test_one_of_each_group_whatever_the_splits_of_a_scan(spark, monkeypatch):
+    rows = [(k, " ".join(f"w{k // 2}x{j}" for j in range(40))) for k in range(400)]
+    docs = common.stored(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), "splits")
+    key = "spark.sql.files.maxPartitionBytes"
+    before, drop = spark.conf.get(key), lsh_forest.drop_keys
+    partitions = docs.rdd.getNumPartitions()
+
+    def drop_later(*args):
+        spark.conf.set(key, "2000")
+        return drop(*args)
+    monkeypatch.setattr(lsh_forest, "drop_keys", drop_later)
+    try:
+        got = sorted(r.doc_id for r in lsh_forest.keep_one(docs).collect())
+        assert spark.read.schema(docs.schema).parquet(*docs.inputFiles()).rdd.getNumPartitions() > partitions
+    finally:
+        spark.conf.set(key, before)
+    assert got == list(range(0, 400, 2))
