@@ -23,11 +23,14 @@ are not read.
 from __future__ import annotations
 
 import bisect
+import os
+import pkgutil
 import re
-from collections import Counter
-from dataclasses import dataclass
+from collections import Counter, defaultdict
+from dataclasses import dataclass, field
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -81,6 +84,49 @@ NOTICES = {
     "CC0-1.0": ["Released under CC0 1.0.", "To the extent possible under law, the author has waived all copyright to this work."],
 }
 
+# Whole texts in ``licence_texts``, by the same identifiers.
+TEXTS = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-SA-4.0", "CC0-1.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "ISC",
+         "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-1.1", "MPL-2.0")
+_GNU = {"GPL": ("General", "1 2 3"), "LGPL": ("Lesser General", "2.1 3"), "AGPL": ("Affero General", "3")}
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+       "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+       "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+
+
+def siblings() -> dict[str, list[str]]:
+    """Short notices and standard headers of all versions of the GNU and
+    Creative Commons licences, so that each one's notice meets its own."""
+    out: dict[str, list[str]] = defaultdict(list)
+    gnu = [(f"{k}-{v if '.' in v else v + '.0'}", kind, v) for k, (kind, vs) in _GNU.items() for v in vs.split()]
+    for name, kind, v in [*gnu, ("LGPL-2.0", "Library General", "2")]:
+        can = (f"you can redistribute it and/or modify it under the terms of the GNU {kind} Public License as published by the "
+               "Free Software Foundation")
+        rest = ("is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty "
+                f"of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} Public License for more details.")
+        what = "library" if name.startswith("LGPL-2") else "program"
+        later, only = f"either version {v} of the License, or (at your option) any later version.", f"version {v} of the License."
+        out[name] += [f"This work is licensed under the GNU {kind} Public License, version {v}.",
+                      f"Licensed under the GNU {kind} Public License v{v}.", f"Released under the GNU {kind} Public License v{v}."]
+        out[name] += [f"This {what} is free software: {can}, {end}{more}" for end in (later, only) for more in ("", f" This {what} {rest}")]
+    for code, words in _CC.items():
+        for v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+            kind = {"3.0": "Unported", "4.0": "International"}.get(v, "Generic")
+            out[f"CC-{code}-{v}"] += [f"Licensed under CC {code} {v}.", f"Creative Commons {words} {v} {kind} License",
+                                      f"This work is licensed under a Creative Commons {words} {v} {kind} License."]
+    return dict(out)
+
+
+def all_notices() -> dict[str, list[str]]:
+    """`NOTICES`, `siblings` and the whole texts."""
+    out: dict[str, list[str]] = defaultdict(list)
+    for name in TEXTS:
+        out[name].append(pkgutil.get_data(__package__, os.path.join("licence_texts", f"{name}.txt")).decode())
+    for more in (NOTICES, siblings()):
+        for name, given in more.items():
+            out[name] += [t for t in given if t not in out[name]]
+    return dict(out)
+
+
 _WORDS = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 # Spelling variants that licences are printed with.
 _SAME = {"licence": "license", "licences": "licenses", "licenced": "licensed", "licensed": "licensed", "v": "version"}
@@ -212,7 +258,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notice
          threshold: float = THRESHOLD) -> DataFrame:
     """``id, licenses (distinct, sorted, comma-joined), n_passages, best_dice,
     matches (array of name, dice, start, end)`` for each row."""
-    templates = Templates.of(notices or NOTICES, threshold)
+    templates = Templates.of(notices or all_notices(), threshold)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [scan_text(t, templates) for t in texts(batch.column(1))]

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from hackney.llm import attention_lm, common, lsh_forest
+from hackney.llm import attention_lm, common, licenses, lsh_forest
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -81,3 +81,18 @@ def test_one_of_each_group_whatever_the_splits_of_a_scan(spark, monkeypatch):
     finally:
         spark.conf.set(key, before)
     assert got == list(range(0, 400, 2))
+
+
+def test_each_licence_wins_its_own_notices_and_text():
+    given = licenses.all_notices()
+    templates = licenses.Templates.of(given)
+    assert {n: [templates.best(t)[0] for t in ts] for n, ts in given.items()} == {n: [n] * len(ts) for n, ts in given.items()}
+    assert templates.best("Creative Commons Attribution-NonCommercial 4.0 International License") == ("CC-BY-NC-4.0", 1.0)
+    bsd = given["BSD-3-Clause"][0].replace("COPYRIGHT HOLDERS AND CONTRIBUTORS", "AUTHORS")
+    assert [f[0] for f in licenses.scan_text("Copyright (c) 2020 A. Author\n\n" + bsd, templates)] == ["BSD-3-Clause"]
+
+
+def test_whole_texts_are_in_the_registered_scan(spark):
+    rows = [(1, licenses.all_notices()["BSD-2-Clause"][0]), (2, "plain text")]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.licenses for r in got} == {1: "BSD-2-Clause", 2: ""}
