@@ -1,7 +1,9 @@
 """Licence scans: passages compared to templates by the Dice coefficient.
 
 A text is cut into passages: its lines, its paragraphs (runs of lines without
-an empty one) and the whole text.  Passages and templates are normalised
+an empty one) and the whole text; where none of them is a licence, windows of
+words are tried wherever enough of a template's bigrams stand close together
+(`Templates.windows`).  Passages and templates are normalised
 (lower case, words of letters, digits, dots and hyphens between them, common
 spelling variants merged) and compared as multisets of word bigrams:
 
@@ -128,6 +130,7 @@ def all_notices() -> dict[str, list[str]]:
 
 
 _WORDS = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
+_SPANS = re.compile(_WORDS.pattern, re.ASCII | re.IGNORECASE)
 # Spelling variants that licences are printed with.
 _SAME = {"licence": "license", "licences": "licenses", "licenced": "licensed", "licensed": "licensed", "v": "version"}
 _BREAK = re.compile(r"\n[ \t\r]*\n")
@@ -158,6 +161,7 @@ class Templates:
     anchors: list[frozenset[str]]
     every_anchor: frozenset[str]
     threshold: float
+    holders: dict[tuple[str, str], list[int]] = field(default_factory=dict)      # bigram -> its templates
 
     @staticmethod
     def of(notices: dict[str, list[str]], threshold: float = THRESHOLD) -> Templates:
@@ -180,8 +184,12 @@ class Templates:
                     chosen.add(w)
                     touched += sum(left.pop(pair) for pair in hit)
             anchors.append(frozenset(chosen))
+        holders: dict[tuple[str, str], list[int]] = defaultdict(list)
+        for k, (g, _) in enumerate(rows):
+            for pair in g:
+                holders[pair].append(k)
         return Templates([n for _, n in rows], [g for g, _ in rows], [sum(g.values()) for g, _ in rows], anchors,
-                         frozenset().union(*anchors) if anchors else frozenset(), threshold)
+                         frozenset().union(*anchors) if anchors else frozenset(), threshold, dict(holders))
 
     def slice_for(self, n: int) -> tuple[int, int]:
         """Templates whose size lets a passage of ``n`` bigrams reach the threshold."""
@@ -207,6 +215,82 @@ class Templates:
                 found = self.names[k], d
         return found
 
+    def windows(self, text: str, taken: list[tuple[int, int]]) -> list[tuple[str, float, int, int]]:
+        """(name, coefficient, start, end) of windows of words outside the spans
+        ``taken``, at or above the threshold and apart from each other.  Of
+        windows that overlap the one with the most to spare, (coefficient -
+        threshold) (bigrams of both), stays: of siblings the likelier one, of a
+        text and a notice inside it the text."""
+        hits: dict[int, list[int]] = defaultdict(list)
+        spans: list[tuple[int, int]] = []
+        words: list[str] = []
+        pairs: list[tuple[str, str] | None] = []
+        for m in _SPANS.finditer(text):
+            w = m.group().lower()
+            w = _SAME.get(w, w)
+            if words:
+                pair = (words[-1], w)
+                for k in self.holders.get(pair, ()):
+                    hits[k].append(len(words) - 1)
+                pairs.append(pair)
+            words.append(w)
+            spans.append(m.span())
+        if not hits:
+            return []
+        blocked = np.zeros(len(pairs), bool)
+        begins, ends = (np.asarray([s[k] for s in spans]) for k in (0, 1))
+        for a, b in taken:          # bigrams that touch the span
+            blocked[max(0, np.searchsorted(ends, a, "right") - 1):np.searchsorted(begins, b, "left")] = True
+        tries: list[tuple[float, float, str, int, int]] = []
+        for k, at in hits.items():
+            if len(at) >= self.sizes[k] * self.threshold / (2 - self.threshold) - 1e-9:
+                place = np.asarray(at)
+                tries += self._windows_of(k, place[~blocked[place]], pairs, blocked)
+        found: list[tuple[str, float, int, int]] = []
+        used = blocked
+        for _, d, name, first, last in sorted(tries, key=lambda w: (-w[0], -w[1], w[2], w[3])):
+            if not used[first:last + 1].any():
+                used[max(0, first - 1):last + 2] = True          # a word is in one window
+                found.append((name, d, spans[first][0], spans[last + 1][1]))
+        return found
+
+    def _windows_of(self, k: int, place: np.ndarray, pairs: list, blocked: np.ndarray) -> list[tuple[float, float, str, int, int]]:
+        """(to spare, coefficient, name, first and last bigram) of the best window
+        from each of the bigrams at ``place``, which template ``k`` has."""
+        t, size, grams = self.threshold, self.sizes[k], self.grams[k]
+        # A window reaches t only if 2 shared - t n >= t size; the largest such
+        # sum over hits as they are (the template's counts only lower it).
+        gain = 2 - t * np.diff(place, prepend=place[:1] - 1)
+        total = np.cumsum(gain)
+        if not len(place) or (total - np.minimum.accumulate(total)).max() + 2 - t < t * size - 1e-6:
+            return []
+        number: dict[tuple[str, str], int] = {}
+        code = np.asarray([number.setdefault(pairs[p], len(number)) for p in place.tolist()])
+        most = np.asarray([grams[g] for g in number])
+        before, rank = np.zeros(len(number), np.int64), np.zeros(len(place), np.int64)
+        for j, c in enumerate(code.tolist()):
+            before[c] += 1
+            rank[j] = before[c]
+        before[:] = 0
+        bounds = np.searchsorted(place, place + size * (2 - t) / t + 1e-9, "right")
+        wall = np.flatnonzero(blocked)
+        if len(wall):               # no window goes over what is taken
+            nearest = np.searchsorted(wall, place)
+            stop = np.where(nearest < len(wall), wall[np.minimum(nearest, len(wall) - 1)], len(pairs))
+            bounds = np.minimum(bounds, np.searchsorted(place, stop))
+        need, out = size * t / (2 - t) - 1e-9, []
+        for j in range(len(place)):
+            end = bounds[j]
+            if end - j >= need:
+                own = code[j:end]
+                d = 2 * np.cumsum(rank[j:end] - before[own] <= most[own]) / (place[j:end] - place[j] + 1 + size)
+                best = int(d.argmax())
+                if d[best] >= t:
+                    n = int(place[j + best] - place[j] + 1)
+                    out.append(((float(d[best]) - t) * (n + size), float(d[best]), self.names[k], int(place[j]), int(place[j + best])))
+            before[code[j]] += 1
+        return out
+
     @property
     def most_words(self) -> int:
         """No passage of more words than this needs to be looked at."""
@@ -238,8 +322,8 @@ def _more_words(text: str, most: int) -> bool:
 
 
 def scan_text(text: str, templates: Templates) -> list[tuple[str, float, int, int]]:
-    """(name, coefficient, start, end) of the licence passages, in text order;
-    inside a found passage no shorter one is looked for."""
+    """(name, coefficient, start, end) of the licence passages and windows, in
+    text order; inside a found passage no shorter one is looked for."""
     found: list[tuple[str, float, int, int]] = []
     most = templates.most_words
     for start, end in passages(text):
@@ -251,6 +335,7 @@ def scan_text(text: str, templates: Templates) -> list[tuple[str, float, int, in
         best = templates.best(part)
         if best:
             found.append((*best, start, end))
+    found += templates.windows(text, [f[2:] for f in found])
     return sorted(found, key=lambda f: f[2])
 
 

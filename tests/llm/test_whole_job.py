@@ -96,3 +96,23 @@ def test_whole_texts_are_in_the_registered_scan(spark):
     rows = [(1, licenses.all_notices()["BSD-2-Clause"][0]), (2, "plain text")]
     got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.licenses for r in got} == {1: "BSD-2-Clause", 2: ""}
+
+
+def test_a_notice_is_found_wherever_it_stands():
+    given = licenses.all_notices()
+    templates = licenses.Templates.of(given)
+
+    def names(text):
+        found = licenses.scan_text(text, templates)
+        assert all(0 <= a < b <= len(text) for _, _, a, b in found)
+        return [f[0] for f in found]
+    filler = "some other words that say nothing of it at all " * 30
+    text = "Some intro sentence comes first here. Released under the MIT License. And more text follows it."
+    assert names(text) == ["MIT"] and names(text.replace("MIT License", "menu")) == []
+    (_, d, a, b), = licenses.scan_text(text, templates)
+    assert d == 1 and text[a:b] == "Released under the MIT License"
+    for name in ("AGPL-3.0", "LGPL-2.1", "GPL-2.0", "BSD-2-Clause", "MIT", "CC-BY-NC-4.0"):
+        for notice in (given[name][0], given[name][-1]):
+            assert names(f"{filler}{' '.join(notice.split())} {filler}") == [name], notice
+    assert names(f"{filler}\n/* {filler}\nReleased under the\nMIT License.\n{filler} Licensed under CC BY-NC 4.0. {filler}*/") == ["MIT", "CC-BY-NC-4.0"]
+    assert names(filler) == []
