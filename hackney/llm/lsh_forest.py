@@ -1,4 +1,4 @@
-"""N-gram Jaccard join with a MinHash LSH forest and exact verification.
+"""N-gram Jaccard join with MinHash banding and exact verification.
 
 Texts are compared as sets of five-word shingles (words: runs of non-blank
 characters in lower case; a text of one to four words is one shingle).  Two
@@ -6,11 +6,11 @@ texts are linked if their sets' Jaccard similarity is 0.8 or more.
 
 1. Texts with equal word sequences are one class; everything after works on
    one text a class, so copies are never expanded into pairs.
-2. Each class gets a forest signature: ``trees`` labels of ``max_depth``
-   minhashes.  A tree is the sorted trie of its labels; two texts meet in it if
-   their labels share a prefix.  Matched prefixes are shortened from
-   ``max_depth`` until the expected recall of a pair at the threshold reaches
-   ``recall`` (`depth_for`).
+2. Each class gets ``trees`` prefixes: hashes of a tree's first minhashes.  Two
+   texts meet in a tree if its prefixes are equal.  Their length is one for all
+   texts, set before any is read: the largest up to ``max_depth`` with which the
+   expected recall of a pair at the threshold reaches ``recall`` (`depth_for`).
+   This is banding with a fixed depth; no tries are kept or searched.
 3. A bucket (one prefix of one tree) is cut into blocks of at most about
    ``BLOCK`` texts, and each pair of blocks is a tile.  Tiles are the unit of
    work: their size is bounded whatever the bucket's.  A pair of texts counts
