@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hackney.llm import attention_lm, byte_bpe, common, decontam, licenses, lsh_forest, pii, quality_cascade, token_files, toxicity, warc_bundles
+from hackney.llm import (attention_lm, byte_bpe, common, decontam, licenses, lsh_forest, pii, quality_cascade,
+                         ranked_search, token_files, toxicity, warc_bundles)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +57,10 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.report(_documents(spark, sf_dir))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_documents(spark, sf_dir), common.table(spark, sf_dir, "benchmark"))
+
+
 # Words and windows by position; a window that occurs marks its words.
 OP5_SQL = r"""
 with w as (select doc_id, string_split(trim(regexp_replace(translate(coalesce(text, ''),
@@ -81,6 +86,26 @@ select dw.doc_id, cast(len(a) as bigint) as n_words, cast(coalesce(n_hit, 0) as
 from dw left join hit using (doc_id) left join it using (doc_id)
 """
 
+# Every document scored against every item that shares a term with it.
+OP11_SQL = r"""
+with split as (select 0 as side, doc_id as id, text from documents union all select 1, item_id, text from benchmark),
+t as (select side, id, unnest(string_split(regexp_replace(translate(text,
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' ')) as w from split),
+q as (select distinct id as item_id, w from t where side = 1 and w <> '' and id is not null),
+tf as (select id as doc_id, w, count(*) as tf from t where side = 0 and w <> '' group by 1, 2),
+d as (select doc_id, cast(sum(tf) as bigint) as n from tf group by 1),
+c as (select count(*) as docs, cast(sum(n) as bigint) as total from d),
+df as (select w, count(*) as df from tf group by 1),
+wt as (select w, cast(floor(1000 * ln(cast(2 * docs + 2 as double) / (2 * df + 1))) as bigint) as weight from df, c),
+s as (select item_id, tf.doc_id, cast(sum(weight * ((1000000000 * tf) //
+          (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // total))))) as bigint) as score
+      from q join tf using (w) join wt using (w) join d on d.doc_id = tf.doc_id, c group by 1, 2),
+r as (select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank,
+             doc_id, score from s where score > 0)
+select * from r where rank <= 50
+"""
+
 # name: (query, DuckDB text or None where SQL cannot express it)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_toxicity": (op1_toxicity, None),
@@ -93,4 +118,5 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_licenses": (op8_licenses, None),
     "op9_pii": (op9_pii, None),
     "op10_quality_cascade": (op10_quality_cascade, None),
+    "op11_ranked_search": (op11_ranked_search, OP11_SQL),
 }
