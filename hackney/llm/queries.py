@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hackney.llm import (attention_lm, byte_bpe, common, decontam, licenses, lsh_forest, pii, quality_cascade,
-                         ranked_search, token_files, toxicity, warc_bundles)
+                         ranked_search, token_files, toxicity, warc_bundles, word_runs)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(_documents(spark, sf_dir), common.table(spark, sf_dir, "benchmark"))
 
 
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs.report(_documents(spark, sf_dir))
+
+
 # Words and windows by position; a window that occurs marks its words.
 OP5_SQL = r"""
 with w as (select doc_id, string_split(trim(regexp_replace(translate(coalesce(text, ''),
@@ -106,6 +110,33 @@ r as (select item_id, cast(row_number() over (partition by item_id order by scor
 select * from r where rank <= 50
 """
 
+# Equal words q apart, joined into islands; the checksum is CRC-32 bit by bit.
+OP12_SQL = r"""
+with d as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as a,
+             xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(cast(doc_id as varchar), ''),
+                   lambda c: [ord(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+                 lambda c, e: xor(xor(c, e) >> 1, case when xor(c, e) & 1 = 1 then 3988292384::bigint else 0 end)),
+               4294967295::bigint) as h from documents),
+r as (select doc_id, a, len(a) as n, h, (h // 10) % greatest(len(a), 1) as s,
+             1 + (len(a) - (h // 10) % greatest(len(a), 1)) // (3 + (h // 10) % 8) as p from d),
+w as (select doc_id, n, i, a[1 + case when h % 10 = 0 and i >= s then s + (i - s) % p else i end] as w
+      from (select *, unnest(range(0, n)) as i from r)),
+m as (select x.doc_id, x.i, y.i - x.i as q from w x join w y on x.doc_id = y.doc_id and x.w = y.w
+      and y.i > x.i and 4 * (y.i - x.i) <= x.n),
+g as (select doc_id, q, i, i - row_number() over (partition by doc_id, q order by i) as k from m),
+u as (select doc_id, min(i) as start, max(i) + 1 + q - min(i) as length, q from g group by doc_id, q, k),
+t as (select doc_id, start, length, min(q) as period from u where length >= greatest(6, 4 * q) group by 1, 2, 3),
+o as (select doc_id, count(*) as n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' order by start, period) as listed
+      from t group by 1),
+b as (select * from t qualify row_number() over (partition by doc_id order by length / period desc, start, period) = 1),
+x as (select distinct doc_id, unnest(range(start + period, start + length)) as i from t),
+k as (select doc_id, string_agg(w, ' ' order by i) as kept from w anti join x using (doc_id, i) group by 1)
+select d.doc_id, cast(coalesce(n_runs, 0) as bigint) as n_runs, cast(start as bigint) as start, cast(length as bigint) as length,
+       cast(period as bigint) as period, cast(1000 * length // period as bigint) as exponent_milli,
+       sha256(coalesce(listed, '')) as runs_sha256, sha256(coalesce(kept, '')) as collapsed_sha256
+from d left join o using (doc_id) left join b using (doc_id) left join k using (doc_id)
+"""
+
 # name: (query, DuckDB text or None where SQL cannot express it)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_toxicity": (op1_toxicity, None),
@@ -119,4 +150,5 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_pii": (op9_pii, None),
     "op10_quality_cascade": (op10_quality_cascade, None),
     "op11_ranked_search": (op11_ranked_search, OP11_SQL),
+    "op12_word_runs": (op12_word_runs, OP12_SQL),
 }
