@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hackney.llm import (attention_lm, byte_bpe, common, decontam, licenses, lsh_forest, pii, quality_cascade,
+from hackney.llm import (attention_lm, byte_bpe, chunk_bpe, common, decontam, licenses, lsh_forest, pii, quality_cascade,
                          ranked_search, token_files, toxicity, warc_bundles, word_runs)
 
 
@@ -65,6 +65,10 @@ def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_runs.report(_documents(spark, sf_dir))
 
 
+def op13_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_bpe.round_trip(_documents(spark, sf_dir))
+
+
 # Words and windows by position; a window that occurs marks its words.
 OP5_SQL = r"""
 with w as (select doc_id, string_split(trim(regexp_replace(translate(coalesce(text, ''),
@@ -151,4 +155,5 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op10_quality_cascade": (op10_quality_cascade, None),
     "op11_ranked_search": (op11_ranked_search, OP11_SQL),
     "op12_word_runs": (op12_word_runs, OP12_SQL),
+    "op13_chunk_bpe": (op13_chunk_bpe, None),
 }
