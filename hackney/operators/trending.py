@@ -50,7 +50,8 @@ def trending(trips: DataFrame, time_col: str = "ts", window: str = WINDOW,
                          "grid_id", "pickups"))
 
 
-def as_key_value(counts: DataFrame) -> DataFrame:
-    """Drop the window bounds: ``key`` = cell, ``value`` = count (INT)."""
+def as_key_value(counts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Drop the window bounds: ``key`` = cell, ``value`` = count (INT).
+    ``keep`` names columns that go along (a changelog's windows)."""
     return counts.select(F.col("grid_id").alias("key"),
-                         F.col("pickups").cast("int").alias("value"))
+                         F.col("pickups").cast("int").alias("value"), *keep)

@@ -205,10 +205,13 @@ def _summary_sql(size_us: int) -> str:
 
 def _summary(spark, sf_dir, window):
     s = payments.statement(fares(spark, sf_dir), keep=("ts",))
-    out = payments.summary(s, time_col="ts", window=window, stamp=False)
-    return out.select("window_start", "window_end", "hack_license",
-                      F.round("total_amount", 3).alias("total_amount"),
-                      F.round("payable_amount", 3).alias("payable_amount"))
+    return summary_out(payments.summary(s, time_col="ts", window=window, stamp=False))
+
+
+def summary_out(sums: DataFrame) -> DataFrame:
+    return sums.select("window_start", "window_end", "hack_license",
+                       F.round("total_amount", 3).alias("total_amount"),
+                       F.round("payable_amount", 3).alias("payable_amount"))
 
 
 @register("driver_payment_summary", _summary_sql(2 * O.MINUTE_US))
@@ -423,3 +426,7 @@ def q_trip_documents(spark, sf_dir):
 def q_fare_documents(spark, sf_dir):
     from hackney.operators.documents import fare_documents
     return fare_documents(fares(spark, sf_dir))
+
+
+# The streaming queries register themselves here, with the oracles above.
+from hackney.plans import streams  # noqa: E402, F401

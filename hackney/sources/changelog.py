@@ -125,17 +125,18 @@ class KeyedTable:
     again in another batch, leaves one row for each id."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
-                 order: Sequence[str] = (BATCH,)):
-        self.spark, self.path, self.schema = spark, path, schema
+                 order: Sequence[str] = (BATCH,), fmt: str = "parquet"):
+        self.spark, self.path, self.schema, self.fmt = spark, path, schema, fmt
         self.keys, self.order = list(keys), list(order)
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         inside = [c for c in self.order if c != BATCH]
         rows = latest(batch, self.keys, inside) if inside else batch.dropDuplicates(self.keys)
-        batch_writer(self.path, "parquet")(rows, batch_id)
+        batch_writer(self.path, self.fmt)(rows, batch_id)
 
     def read(self) -> DataFrame:
-        return latest(read_log(self.spark, self.path, self.schema, "parquet"), self.keys, self.order)
+        """The table; ``batch_id`` is the micro-batch a row last came in."""
+        return latest(read_log(self.spark, self.path, self.schema, self.fmt), self.keys, self.order)
 
     def compact(self) -> int | None:
-        return compact(self.spark, self.path, self.schema, self.keys, self.order, "parquet")
+        return compact(self.spark, self.path, self.schema, self.keys, self.order, self.fmt)

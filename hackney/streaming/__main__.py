@@ -1,7 +1,7 @@
 """Run one streaming service:  python -m hackney.streaming <service> [options]
 
-Services: refine_trips, refine_fares, merge_trip_fares,
-merge_trip_fares_windowed, trending_grid, payment_statements,
+Services: refine_trips, refine_fares, merge_trip_fares, materialise_merged,
+merge_trip_fares_windowed, trending_grid, trending_grid_accounted, payment_statements,
 payment_summary, driver_payments, index_trips, index_fares, replay.
 
 Topics live on Kafka (``--kafka host:port``) or in JSON folders
@@ -19,8 +19,8 @@ import sys
 from hackney.session import get_session
 from hackney.streaming import services as svc
 
-SERVICES = ["refine_trips", "refine_fares", "merge_trip_fares", "merge_trip_fares_windowed",
-            "trending_grid", "payment_statements", "payment_summary", "driver_payments",
+SERVICES = ["refine_trips", "refine_fares", "merge_trip_fares", "materialise_merged",
+            "merge_trip_fares_windowed", "trending_grid", "trending_grid_accounted", "payment_statements", "payment_summary", "driver_payments",
             "index_trips", "index_fares", "replay"]
 
 
@@ -39,7 +39,9 @@ def main(argv: list[str] | None = None) -> int:
                     help="records (Kafka) or files (folders) per micro-batch")
     ap.add_argument("--path", help="replay: text files to read")
     ap.add_argument("--kind", choices=["trip", "fare"], help="replay: line kind")
-    ap.add_argument("--target", help="index_*: index name or output folder")
+    ap.add_argument("--target", help="index_*: index name or output folder; materialise_merged,"
+                                     " trending_grid_accounted: folder of the table or gate")
+    ap.add_argument("--ttl", type=int, help="merge_trip_fares: seconds until an idle key's state goes")
     ap.add_argument("--format", default="json", help="index_*: writer format")
     ap.add_argument("--master", help="Spark master (default: from spark-submit)")
     a = ap.parse_args(argv)
@@ -61,8 +63,15 @@ def main(argv: list[str] | None = None) -> int:
         queries = svc.driver_payments(spark, topics, **timed)
     elif s in ("trending_grid", "payment_summary"):
         queries = [getattr(svc, s)(spark, topics, **timed)]
-    elif s in ("merge_trip_fares", "merge_trip_fares_windowed"):
-        queries = [getattr(svc, s)(spark, topics, **late)]
+    elif s == "merge_trip_fares":
+        queries = [svc.merge_trip_fares(spark, topics, ttl_seconds=a.ttl, **late)]
+    elif s == "merge_trip_fares_windowed":
+        queries = [svc.merge_trip_fares_windowed(spark, topics, **timed)]
+    elif s in ("materialise_merged", "trending_grid_accounted"):
+        if not a.target:
+            ap.error(f"{s} needs --target")
+        queries = ([svc.materialise_merged(spark, topics, a.target)] if s == "materialise_merged"
+                   else svc.trending_grid_accounted(spark, topics, a.target, **timed))
     else:
         queries = [getattr(svc, s)(spark, topics)]
     if not a.available_now:      # services run until one of them ends

@@ -68,7 +68,8 @@ def trending_stream(trips: DataFrame, time_col: str = "ts", window: str = trendi
 
 def summary_stream(statements: DataFrame, time_col: str = "ts",
                    window: str = payments.SUMMARY_WINDOW,
-                   lateness: str = DEFAULT_LATENESS, stamp: bool = True) -> DataFrame:
+                   lateness: str | None = DEFAULT_LATENESS, stamp: bool = True) -> DataFrame:
+    """``lateness`` None: the records have a watermark already."""
     return payments.summary(statements, time_col=time_col, window=window,
                             watermark=lateness, stamp=stamp)
 
@@ -123,6 +124,15 @@ def table_left_join_stream(fares: DataFrame, trips: DataFrame, key: str = "key",
     return merge.merge_record(flat, key=key)
 
 
+def once(records: DataFrame, txn: str = "txn", time_col: str = "ts",
+         lateness: str = DEFAULT_LATENESS) -> DataFrame:
+    """Records without repeats: of those with equal ``txn`` (what a record was
+    made from) the first.  A topic writer that retries a micro-batch appends its
+    records again, so a reader that sums has to know them.  State is bounded by
+    the watermark on ``time_col``, which later windows share."""
+    return records.withWatermark(time_col, lateness).dropDuplicatesWithinWatermark([txn])
+
+
 def _struct_type(df: DataFrame, cols: list[str]) -> T.StructType:
     fields = {f.name: f for f in df.schema.fields}
     return T.StructType([T.StructField(c, fields[c].dataType, True) for c in cols])

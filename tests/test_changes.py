@@ -3,12 +3,11 @@
 import datetime as dt
 import time
 
-import pytest
 from pyspark.sql import functions as F
 
-from hackney.operators import merge, parse
-from hackney.sources import changelog, fixtures
-from hackney.streaming import changes, jobs
+from hackney.operators import documents, merge, parse, payments, trending
+from hackney.sources import changelog, fixtures, kafka
+from hackney.streaming import changes, jobs, late, services
 
 SF = "/root/testdata/sf0.001"
 T0 = dt.datetime(2013, 5, 1, 8, 0)
@@ -111,3 +110,191 @@ def test_last_changes_are_the_batch_join(spark, tmp_path):
     want = merge.table_left_join(parse.parse_fares(fares), parse.parse_trips(trips)).select(*cols)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert log.count() > got.count() and log.select("batch_id").distinct().count() > 1
+
+
+# ---- changelogs, keyed tables
+
+def test_log_is_the_last_row_of_each_key(spark, tmp_path):
+    path, schema = str(tmp_path / "log"), spark.createDataFrame([], "k string, v long").schema
+    write = changelog.batch_writer(path)
+    make = lambda *rows: spark.createDataFrame(list(rows), "k string, v long")      # noqa: E731
+    assert changelog.read_log(spark, path, schema).count() == 0
+    write(make(("a", 1), ("b", 1)), 0)
+    write(make(("a", 2)), 1)
+    write(make(("a", 3), ("c", None)), 2)
+    write(make(("a", 4), ("c", None)), 2)                  # replayed
+    def now():
+        rows = changelog.latest(changelog.read_log(spark, path, schema), ["k"]).collect()
+        return sorted((r.k, r.v, r.batch_id) for r in rows)
+    want = [("a", 4, 2), ("b", 1, 0), ("c", None, 2)]
+    assert now() == want
+    assert changelog.compact(spark, path, schema, ["k"]) == 2 and now() == want
+    assert changelog.numbered(spark, path, "batch_id") == [] and changelog.compact(spark, path, schema, ["k"]) is None
+    write(make(("b", 9)), 3)
+    assert now() == [("a", 4, 2), ("b", 9, 3), ("c", None, 2)]
+    write(make(("a", 0)), 1)                               # left over from an interrupted compaction
+    assert now() == [("a", 4, 2), ("b", 9, 3), ("c", None, 2)]
+    (tmp_path / "log-snapshot" / "upto=3").mkdir()         # a snapshot that was not finished
+    assert now() == [("a", 4, 2), ("b", 9, 3), ("c", None, 2)]
+    assert changelog.compact(spark, path, schema, ["k"]) == 3 and now() == [("a", 4, 2), ("b", 9, 3), ("c", None, 2)]
+    assert changelog.numbered(spark, path + "-snapshot", "upto") == [3]
+
+
+def test_keyed_table_takes_documents_once(spark, tmp_path):
+    schema = spark.createDataFrame([], "doc_id string, v long").schema
+    table = changelog.KeyedTable(spark, str(tmp_path / "docs"), schema, ["doc_id"], fmt="json")
+    first = spark.createDataFrame([("t+0+1", 1), ("t+0+2", 2), ("t+0+2", 2)], schema)
+    table.upsert(first, 0)
+    table.upsert(first, 0)                                                   # a replayed batch
+    table.upsert(spark.createDataFrame([("t+0+2", 5), ("t+1+2", 6)], schema), 1)      # delivered again in another
+    rows = lambda: sorted((r.doc_id, r.v) for r in table.read().collect())
+    assert rows() == [("t+0+1", 1), ("t+0+2", 5), ("t+1+2", 6)]
+    table.compact()
+    assert rows() == [("t+0+1", 1), ("t+0+2", 5), ("t+1+2", 6)]
+
+
+# ---- services
+
+def service_topics(tmp_path, **how):
+    return services.Topics(fmt="json", root=str(tmp_path / "topics"), trigger={"availableNow": True},
+                           checkpoint_root=str(tmp_path / "ckpt"), **how)
+
+
+def ended(*queries):
+    for q in queries:
+        assert q.awaitTermination(90) and q.exception() is None
+
+
+def put(topics, topic, rows, partition=None):
+    """Records into a folder topic, as a writer with a partition or without."""
+    df = rows.select("seq", "ts", F.lit("").alias("key"), "value")
+    if partition is not None:
+        df = df.withColumn("partition", F.lit(partition))
+    df.write.mode("append").json(f"{topics.root}/{topic}")
+
+
+def test_documents_by_record_id(spark, tmp_path):
+    topics, target = service_topics(tmp_path), str(tmp_path / "docs")
+    lines = fixtures.trip_lines(spark, SF)
+    put(topics, kafka.RAW_TRIP_TOPIC, lines)
+    ended(services.refine_trips(spark, topics))
+    ended(services.index_trips(spark, topics, target=target))
+    n = parse.parse_trips(lines).count()
+    schema = documents.trip_documents(parse.parse_trips(lines).withColumn("doc_id", F.lit("")), ("doc_id",)).schema
+    table = services.document_table(spark, target, schema)
+    ids = lambda: sorted(r.doc_id for r in table.read().collect())        # noqa: E731
+    before = ids()
+    assert len(before) == len(set(before)) == n and before[0].startswith("trips-refined-stream-topic+0+")
+    # the index forgets where it was and gets every record again
+    again = services.Topics(fmt="json", root=topics.root, trigger=topics.trigger, checkpoint_root=str(tmp_path / "lost"))
+    ended(services.index_trips(spark, again, target=target))
+    assert ids() == before
+    # the same offset in another partition is another document
+    put(topics, "two", lines.where("seq < 3"), 0)
+    put(topics, "two", lines.where("seq < 3"), 1)
+    seen = topics.read(spark, "two").select(documents.document_id("two").alias("i"))
+    run(seen, str(tmp_path), "append", "ids")
+    assert sorted(r.i for r in spark.read.parquet(f"{tmp_path}/ids").collect()) == sorted(
+        f"two+{p}+{r.seq}" for p in (0, 1) for r in lines.where("seq < 3").collect())
+
+
+def test_statements_written_twice_sum_once(spark, tmp_path):
+    topics = service_topics(tmp_path)
+    lines = fixtures.fare_lines(spark, SF)
+    put(topics, kafka.RAW_FARE_TOPIC, lines)
+    ended(services.refine_fares(spark, topics))
+    ended(services.payment_statements(spark, topics))
+    topic = f"{topics.root}/{kafka.DRIVER_PAYMENT_STATEMENT_TOPIC}"
+    twice = spark.read.schema(services.FRAME_SCHEMA).option("timestampFormat", changelog.TIMESTAMPS).json(topic)
+    rows = spark.createDataFrame(twice.collect(), twice.schema)
+    twice_topics = service_topics(tmp_path / "twice")
+    for _ in range(2):                                             # a writer that retried every batch
+        rows.drop("partition", "batch_id").write.mode("append").json(
+            f"{twice_topics.root}/{kafka.DRIVER_PAYMENT_STATEMENT_TOPIC}")
+    ended(services.payment_summary(spark, twice_topics, window="1 day"))
+    found = twice_topics.table(spark, kafka.DRIVER_PAYMENT_SUMMARY_TOPIC, ("window_start", "window_end", "key"))
+    got = kafka.from_kafka_json(found, kafka.STATEMENT_SCHEMA, keep=("window_start",))
+    want = payments.summary(payments.statement(parse.parse_fares(lines), keep=("ts",)), window="1 day", stamp=False)
+    cents = lambda df: sorted((r.window_start, r.hack_license, round(r.total_amount, 6), round(r.payable_amount, 6))
+                              for r in df.collect())
+    assert cents(got) == cents(want)
+
+
+def test_merged_topic_is_read_back(spark, tmp_path):
+    topics, target = service_topics(tmp_path, max_per_trigger=2), str(tmp_path / "merged")
+    trips, fares = fixtures.trip_lines(spark, SF), fixtures.fare_lines(spark, SF)
+    put(topics, kafka.RAW_TRIP_TOPIC, trips.repartition(4))
+    put(topics, kafka.RAW_FARE_TOPIC, fares.repartition(4))
+    ended(services.refine_trips(spark, topics), services.refine_fares(spark, topics))
+    ended(services.merge_trip_fares(spark, topics))
+    ended(services.materialise_merged(spark, topics, target))
+    want = merge.table_left_join(parse.parse_fares(fares), parse.parse_trips(trips))
+    cols = ["key", "fare_seq", "trip_seq", "total_amount", "trip_distance", "dropoff_datetime", "pickup_location"]
+    rows = lambda df: sorted(map(str, df.select(*cols).collect()))        # noqa: E731
+    assert rows(services.merged_table(spark, target).read()) == rows(want)
+    table = lambda: sorted((r.key, r.value) for r in topics.table(                # noqa: E731
+        spark, kafka.MERGED_TRIP_FARES_TOPIC, order=changes.CHANGE_ORDER).collect())
+    before = table()
+    assert len(before) == want.count()
+    topics.compact(spark, kafka.MERGED_TRIP_FARES_TOPIC, order=changes.CHANGE_ORDER)
+    assert table() == before
+
+
+def test_headers_and_back(spark):
+    rows = spark.createDataFrame([("k", "v", "0+7", 3, T0), ("k", "v", None, None, None)],
+                                 "key string, value string, txn string, fare_seq long, window_start timestamp")
+    sent = kafka.with_headers(rows)
+    assert sent.columns == ["key", "value", "headers"] and [len(r.headers) for r in sent.collect()] == [3, 0]
+    back = kafka.from_headers(sent)
+    assert [(r.txn, r.fare_seq, r.window_start, r.batch_id) for r in back.collect()] == [("0+7", 3, T0, None), (None,) * 4]
+    assert kafka.with_headers(rows.select("key", "value")).columns == ["key", "value"]
+
+
+# ---- late rows
+
+def test_newest_first_loses_nothing_uncounted(spark, tmp_path):
+    """Three months, one file each, the newest first."""
+    topics, gate = service_topics(tmp_path, max_per_trigger=1), str(tmp_path / "gate")
+    lines = fixtures.trip_lines(spark, SF)
+    for month in (2, 1, 0):
+        put(topics, kafka.RAW_TRIP_TOPIC, lines.withColumn("ts", F.expr(f"timestampadd(MONTH, {month}, ts)"))
+            .withColumn("seq", F.col("seq") + month * 10**6).coalesce(1))
+        time.sleep(1.1)                                             # file times order the stream
+    ended(services.refine_trips(spark, topics))
+    ended(*services.trending_grid_accounted(spark, topics, gate, lateness="2 days"))
+    n = parse.parse_trips(lines).count()
+    counted = late.counters(spark, gate).orderBy("batch_id").collect()
+    assert sum(r.n_rows for r in counted) == 3 * n and len(counted) >= 3
+    assert [r.clock for r in counted] == sorted(r.clock for r in counted)
+    schema = services._refined(spark, topics, kafka.REFINED_TRIP_TOPIC, kafka.REFINED_TRIP_SCHEMA).schema
+    side = late.late_rows(spark, gate, schema)
+    assert side.count() == sum(r.n_late for r in counted) > 2 * n * 0.9
+    main = topics.table(spark, kafka.TRENDING_PICKUP_GRID_TOPIC, ("window_start", "window_end", "key"))
+    got = {}
+    for r in main.collect():
+        got[r.window_start, int(r.key)] = int(r.value)
+    for r in trending.trending(side).collect():
+        got[r.window_start, r.grid_id] = got.get((r.window_start, r.grid_id), 0) + r.pickups
+    every = spark.read.schema(services.FRAME_SCHEMA).option("timestampFormat", changelog.TIMESTAMPS).json(
+        f"{topics.root}/{kafka.REFINED_TRIP_TOPIC}")
+    batch = trending.trending(kafka.from_kafka_json(every, kafka.REFINED_TRIP_SCHEMA, keep=("ts",)))
+    assert got == {(r.window_start, r.grid_id): r.pickups for r in batch.collect()}
+
+
+def test_gate_replays_a_batch_alike(spark, tmp_path):
+    path = str(tmp_path / "gate")
+    write = late.gate_writer(path, lateness="1 hour")
+    rows = lambda *hours: spark.createDataFrame(                            # noqa: E731
+        [(h, None if h is None else T0 + dt.timedelta(hours=h)) for h in hours], "h int, ts timestamp")
+    write(rows(0, 2, None), 0)
+    write(rows(1, 3, 2), 1)
+    write(rows(1, 3, 2), 1)
+    write(rows(), 2)
+    write(rows(5, 1), 3)
+    seen = [(r.n_rows, r.n_late, r.n_untimed, r.clock) for r in late.counters(spark, path).orderBy("batch_id").collect()]
+    hour = lambda h: T0 + dt.timedelta(hours=h)                              # noqa: E731
+    assert seen == [(3, 1, 1, hour(1)), (3, 1, 0, hour(2)), (0, 0, 0, hour(2)), (2, 1, 0, hour(4))]
+    schema = rows(0).schema
+    assert sorted(r.h for r in late.late_rows(spark, path, schema).collect()) == [0, 1, 1]
+    run(late.on_time(spark, path, schema), str(tmp_path), "append", "main")
+    assert sorted(r.h or -1 for r in spark.read.parquet(f"{tmp_path}/main").collect()) == [-1, 2, 2, 3, 5]
