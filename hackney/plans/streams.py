@@ -1,6 +1,7 @@
-"""Registered queries that run the streaming jobs over the given tables.
+"""Registered queries that run the streaming jobs over the given tables, and the
+table join of bucketed tables.
 
-Each reads ``events`` as a stream, runs the job once over all of it (one-shot
+Each stream reads ``events`` as a stream, runs the job once over all of it (one-shot
 trigger), and returns the final state as a table, which must equal the batch
 oracle.  Topics, state and checkpoints live below ``spark.checkpoint.dir``, a
 new folder for each call.
@@ -13,12 +14,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.operators import documents, parse, payments, trending
+from hackney.operators import documents, merge, parse, payments, trending
 from hackney.plans import catalog as C
 from hackney.plans import oracle as O
 from hackney.session import checkpoint_dir
 from hackney.sources import changelog, fixtures, kafka
-from hackney.sources.tables import read_table
+from hackney.sources.tables import read_table, write_bucketed
 from hackney.streaming import changes, jobs, late
 from hackney.streaming.services import document_table, merged_table
 
@@ -125,3 +126,15 @@ def q_stream_trending_late(spark, sf_dir):
     side = trending.trending(late.late_rows(spark, gate, trips.schema)).select(
         *by, none.alias("pickups"), F.col("pickups").alias("late_pickups"))
     return main.unionByName(side).groupBy(*by).agg(F.sum("pickups").alias("pickups"), F.sum("late_pickups").alias("late_pickups"))
+
+
+@C.register("trip_fares_bucketed_join", C.REGISTRY["trip_fares_table_join"][1])
+def q_trip_fares_bucketed_join(spark, sf_dir):
+    """The table join over refined tables that are bucketed by key: no exchange."""
+    tables = []
+    for name, rows in (("trips", C.trips(spark, sf_dir)), ("fares", C.fares(spark, sf_dir))):
+        path = _work(spark, name)
+        table = path.rpartition("/")[2].replace("-", "_")
+        write_bucketed(rows, table, path, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+        tables.append(spark.table(table))
+    return C.flat_merged(merge.table_left_join(tables[1], tables[0]))

@@ -42,3 +42,14 @@ def read_refined(spark: SparkSession, path: str, start: dt.date | None = None,
     if end is not None:
         df = df.where(F.col(PARTITION_COL) < F.lit(end))
     return df
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, key: str = "key", order: str = "seq") -> None:
+    """Store records as table ``name`` (files at ``path``), bucketed by ``key`` and
+    sorted within buckets: the shuffle that every later latest-per-key or join on
+    the key would pay is paid here once.  Tables that meet need the same number of
+    buckets.  Each bucket is one task's file, so size ``buckets`` as one would
+    shuffle partitions; a key with a very large share of the rows stays whole (use
+    `hackney.operators.merge.interval_left_join` on unbucketed rows for that)."""
+    (df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+       .bucketBy(buckets, key).sortBy(key, order).saveAsTable(name))

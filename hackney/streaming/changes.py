@@ -51,8 +51,8 @@ def _processor(ttl_ms: int | None) -> StatefulProcessor:
             for r in rows:
                 sides[r["side"]].append((r["seq"], r["ts"], r["rec"]))
             fares, trips = (sorted(x, key=lambda r: r[0]) for x in sides.values())
-            fare = self.fare.get() if self.fare.exists() else (None, None)
-            trip = self.trip.get() if self.trip.exists() else (None, None)
+            fare = self.fare.get() or (None, None)
+            trip = self.trip.get() or (None, None)
             old_fare, old_trip = fare, trip
             i = j = 0
             while i < len(fares) or j < len(trips):
@@ -96,8 +96,8 @@ def _schema(df: DataFrame, cols: list[str]) -> T.StructType:
 def table_left_join_changes(fares: DataFrame, trips: DataFrame, key: str = "key", order: str = "seq",
                             record_col: str = "ts", ttl_seconds: int | None = None) -> DataFrame:
     """Every change of latest fare LEFT JOIN latest trip, as merged records with
-    ``changed`` ("fare" or "trip"), in ``append`` or ``update`` mode.  Records
-    without a key or an offset change nothing."""
+    ``changed`` ("fare" or "trip"), in ``update`` mode.  ``order`` is the offset,
+    a number.  Records without a key or an offset change nothing."""
     f_cols, t_cols = list(merge.FARE_MERGE_COLUMNS), list(merge.TRIP_MERGE_COLUMNS)
     both = _side(fares, "fare", key, order, record_col, f_cols).unionByName(
         _side(trips, "trip", key, order, record_col, t_cols))

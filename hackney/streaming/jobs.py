@@ -45,19 +45,34 @@ def read_line_files(spark: SparkSession, path: str, files_per_trigger: int | Non
 
 def read_text_lines(spark: SparkSession, path: str, kind: str,
                     files_per_trigger: int | None = 1) -> DataFrame:
-    """Stream raw text lines; the pickup time (replay gate) is the record time.
+    """Stream raw text lines as ``seq, ts, value, place``; the pickup time
+    (replay gate) is the record time.
 
     Lines whose pickup field does not parse, headers included, are dropped.
-    Plain text files carry no offsets, so ``seq`` (the order that picks the
-    latest record per key) is the pickup time in microseconds; Kafka
-    sources use the real offset.
+    Plain text files carry no offsets: ``seq`` is the pickup time in
+    microseconds, which lines of one second share.  ``place`` (file name, start
+    of the split, line within the task's splits) is the order of the files; pass
+    it as ``order`` to the latest-per-key joins.  Kafka sources use the offset.
     """
     r = spark.readStream.format("text")
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
-    gated = parse.gate_lines(r.load(path), kind)
+    lines = r.load(path).select("value", F.col("_metadata.file_name").alias("file"),
+                                F.col("_metadata.file_block_start").alias("block"))
+    counted = lines.mapInArrow(_number_lines, "value string, file string, block long, line long")
+    gated = parse.gate_lines(counted, kind)
     return gated.select(F.unix_micros("event_ts").alias("seq"),
-                        F.col("event_ts").alias("ts"), "value")
+                        F.col("event_ts").alias("ts"), "value", F.struct("file", "block", "line").alias("place"))
+
+
+def _number_lines(batches):
+    # A task reads its splits one after another and each from its start.
+    # (Streams have no monotonically_increasing_id.)
+    import pyarrow as pa
+    at = 0
+    for batch in batches:
+        yield batch.append_column("line", pa.array(range(at, at + batch.num_rows), pa.int64()))
+        at += batch.num_rows
 
 
 def trending_stream(trips: DataFrame, time_col: str = "ts", window: str = trending.WINDOW,
@@ -81,7 +96,7 @@ def table_left_join_stream(fares: DataFrame, trips: DataFrame, key: str = "key",
     """Latest fare LEFT JOIN latest trip per key, as a streaming aggregate.
 
     Both sides go into one keyed state row holding the latest fare and the
-    latest trip (``max_by`` on the offset).  In ``update`` mode each
+    latest trip (``max_by`` on ``order``: the offset, or a text line's ``place``).  In ``update`` mode each
     micro-batch emits the current pair for every key it changed; a trip
     arriving later turns (fare, none) into (fare, trip); a trip without a
     fare emits nothing.
@@ -95,8 +110,9 @@ def table_left_join_stream(fares: DataFrame, trips: DataFrame, key: str = "key",
     did not parse (key ending ``-``) is windowed on its record time instead.
     """
     # only what the merged record reads: smaller state rows
-    f_cols = [order, *merge.FARE_MERGE_COLUMNS]
-    t_cols = [order, *merge.TRIP_MERGE_COLUMNS]
+    f_cols = ["seq", *merge.FARE_MERGE_COLUMNS]
+    t_cols = ["seq", *merge.TRIP_MERGE_COLUMNS]
+    rank = fares.schema[order].dataType
     fare_struct = F.struct(*[F.col(c).alias(c) for c in f_cols])
     trip_struct = F.struct(*[F.col(c).alias(c) for c in t_cols])
     def when_of(df):
@@ -105,9 +121,9 @@ def table_left_join_stream(fares: DataFrame, trips: DataFrame, key: str = "key",
         return F.coalesce(F.col(pickup_col), F.col(record_col))
     f = fares.select(key, fare_struct.alias("_fare"), F.col(order).alias("_fseq"),
                      F.lit(None).cast(_struct_type(trips, t_cols)).alias("_trip"),
-                     F.lit(None).cast("bigint").alias("_tseq"), when_of(fares).alias("_when"))
+                     F.lit(None).cast(rank).alias("_tseq"), when_of(fares).alias("_when"))
     t = trips.select(key, F.lit(None).cast(_struct_type(fares, f_cols)).alias("_fare"),
-                     F.lit(None).cast("bigint").alias("_fseq"),
+                     F.lit(None).cast(rank).alias("_fseq"),
                      trip_struct.alias("_trip"), F.col(order).alias("_tseq"),
                      when_of(trips).alias("_when"))
     both = f.unionByName(t)
@@ -141,9 +157,16 @@ def _struct_type(df: DataFrame, cols: list[str]) -> T.StructType:
 def interval_left_join_stream(fares: DataFrame, trips: DataFrame, fare_time: str = "ts",
                               trip_time: str = "ts",
                               within_seconds: int = merge.JOIN_WITHIN_SECONDS,
-                              lateness: str = DEFAULT_LATENESS, key: str = "key") -> DataFrame:
+                              lateness: str = DEFAULT_LATENESS, key: str = "key",
+                              bucket_seconds: int | None = None) -> DataFrame:
     """Fares LEFT JOIN trips of the same key within ``within_seconds``.
 
+    The equi-key is (key, time bucket), as in the batch join: each fare has one
+    bucket (``bucket_seconds`` wide, default twice the window), each trip is
+    copied to the buckets its range touches (about two).  A pair meets once, an
+    unmatched fare comes out once, and a hot key's state and work are spread
+    over the tasks by time.
+
     Matches are emitted as they are found; an unmatched fare only once the
     watermark of both inputs has passed its time plus the window (an idle
     side holds output back).
@@ -151,10 +174,14 @@ def interval_left_join_stream(fares: DataFrame, trips: DataFrame, fare_time: str
     f = fares.select(*[F.col(c).alias(c if c == key else "f_" + c) for c in fares.columns])
     t = trips.select(*[F.col(c).alias("_t_key" if c == key else "t_" + c) for c in trips.columns])
     ft, tt = "f_" + fare_time, "t_" + trip_time
-    f = f.withWatermark(ft, lateness)
-    t = t.withWatermark(tt, lateness)
+    b_us = (bucket_seconds or 2 * within_seconds) * 1_000_000
+    w_us = within_seconds * 1_000_000
+    at = F.unix_micros(tt)
+    f = f.withWatermark(ft, lateness).withColumn("_bucket", F.floor(F.unix_micros(ft) / F.lit(b_us)))
+    t = t.withWatermark(tt, lateness).withColumn("_t_bucket", F.explode(F.sequence(
+        F.floor((at - F.lit(w_us)) / F.lit(b_us)), F.floor((at + F.lit(w_us)) / F.lit(b_us)))))
     span = F.expr(f"INTERVAL {int(within_seconds)} SECONDS")
-    cond = ((F.col(key) == F.col("_t_key"))
+    cond = ((F.col(key) == F.col("_t_key")) & (F.col("_bucket") == F.col("_t_bucket"))
             & (F.col(tt) >= F.col(ft) - span) & (F.col(tt) <= F.col(ft) + span))
     joined = f.join(t, cond, "leftOuter")
     return merge.merge_record(joined, key=key,

@@ -298,3 +298,63 @@ def test_gate_replays_a_batch_alike(spark, tmp_path):
     assert sorted(r.h for r in late.late_rows(spark, path, schema).collect()) == [0, 1, 1]
     run(late.on_time(spark, path, schema), str(tmp_path), "append", "main")
     assert sorted(r.h or -1 for r in spark.read.parquet(f"{tmp_path}/main").collect()) == [-1, 2, 2, 3, 5]
+
+
+# ---- text lines in file order, hot keys, state
+
+def text_stream(spark, folder, kind, rows):
+    import os
+    os.makedirs(folder, exist_ok=True)
+    for name, lines in rows.items():
+        with open(f"{folder}/{name}", "w") as out:
+            out.write("\n".join(lines) + "\n")
+    return jobs.read_text_lines(spark, folder, kind, files_per_trigger=None)
+
+
+def test_lines_of_one_second_resolve_as_in_the_file(spark, tmp_path):
+    many = [FARE.format(k) for k in range(1, 400)]
+    fares = text_stream(spark, str(tmp_path / "fares"), "fare", {"a.csv": many, "b.csv": [FARE.format(7), FARE.format(5.5)]})
+    trips = text_stream(spark, str(tmp_path / "trips"), "trip", {"a.csv": [TRIP.format(k) for k in (4, 2, 3)]})
+    f, t = parse.parse_fares(fares), parse.parse_trips(trips)
+    run(jobs.table_left_join_stream(f, t, order="place"), str(tmp_path), name="aggregate")
+    got = spark.read.parquet(f"{tmp_path}/aggregate").collect()
+    assert [(r.fare_amount, r.passenger_count) for r in got] == [(5.5, 3)]
+
+
+def test_hot_key_spreads_over_tasks(spark, tmp_path):
+    base = str(tmp_path)
+    hours = [(k, 3600 * k) for k in range(24)]
+    drop(spark, f"{base}/fares", [(k, t, FARE.format(k)) for k, t in hours])
+    drop(spark, f"{base}/trips", [(100 + k, t + 60 * (k % 14), TRIP.format(3)) for k, t in hours])
+    t = parse.parse_trips(jobs.read_line_files(spark, f"{base}/trips", None))
+    f = parse.parse_fares(jobs.read_line_files(spark, f"{base}/fares", None))
+    run(jobs.interval_left_join_stream(f, t, lateness="2 days"), base, "append", "j3")
+    pairs = sorted((r.fare_seq, r.trip_seq) for r in spark.read.parquet(f"{base}/j3").collect())
+    assert pairs == [(k, 100 + k) for k in range(24) if k % 14 <= 10]
+    state = spark.read.format("statestore").option("joinSide", "left").load(f"{base}/ckpt-j3")
+    assert state.count() == 24 and state.select("partition_id").distinct().count() > 3      # one key, many tasks
+
+
+def test_state_holds_open_windows_only(spark, tmp_path):
+    base = str(tmp_path)
+    drop(spark, f"{base}/trips", [(1, 0, TRIP.format(1)), (2, 3600, TRIP.format(1)), (3, 7200, TRIP.format(1))])
+    counts = trending.trending(parse.parse_trips(jobs.read_line_files(spark, f"{base}/trips", None)),
+                               window="1 hour", slide="1 hour", watermark="2 hours")
+    keys = lambda: spark.read.format("statestore").load(f"{base}/ckpt-w").count()       # noqa: E731
+    run(counts, base, name="w")
+    assert keys() == 3
+    drop(spark, f"{base}/trips", [(4, 4 * 3600, TRIP.format(1))])        # the watermark moves to 10:00
+    run(counts, base, name="w")
+    drop(spark, f"{base}/trips", [(5, 4 * 3600, TRIP.format(1))])        # the next batch drops what it closed
+    run(counts, base, name="w")
+    assert keys() == 2                                                    # 10:00 and 12:00 are open
+    drop(spark, f"{base}/trips", [(6, 4 * 3600, TRIP.format(1)), (7, 0, TRIP.format(1))])     # the last is too late
+    run(counts, base, name="w")
+    assert keys() == 2
+    assert sorted(r.pickups for r in changelog.latest(spark.read.parquet(f"{base}/w"), ["window_start"]).collect()) == [1, 1, 1, 3]
+
+
+def test_bucketed_join_has_no_exchange(spark):
+    from hackney.plans.catalog import REGISTRY
+    plan = REGISTRY["trip_fares_bucketed_join"][0](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" in plan and "SelectedBucketsCount" in plan
