@@ -94,6 +94,22 @@ def release(spark: SparkSession, since: int, until: int) -> None:
     _STORED[since:until] = [""] * (until - since)
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named ``col_0``, ``col_1``, ... by position, so
+    that no column of it clashes with one an operator adds."""
+    return df.toDF(*(f"col_{k}" for k in range(len(df.columns))))
+
+
+def named_apart(df: DataFrame, column: str) -> str:
+    """The name of ``df``'s ``column`` in `apart`."""
+    return f"col_{df.columns.index(column)}"
+
+
+def together(plain: DataFrame, df: DataFrame) -> DataFrame:
+    """The columns of `apart(df)` in ``plain`` under their own names again."""
+    return plain.select(*(f"col_{k}" for k in range(len(df.columns)))).toDF(*df.columns)
+
+
 # A set of keys up to this size is broadcast; a larger one is joined by shuffle.
 BROADCAST_KEYS = 1_000_000
 

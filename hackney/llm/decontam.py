@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hackney.llm.common import batch_rows, drop_keys, stored
+from hackney.llm.common import apart, batch_rows, drop_keys, named_apart, stored, together
 
 WINDOW = 13
 SEGMENT_WORDS = 2_000_000
@@ -369,5 +369,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """``docs`` without its contaminated rows, all columns as they are.  The
     verdict is a matter of the text alone, so rows are told by its digest."""
     bad = contamination(docs, benchmark, id_col, text_col).where("contaminated").select("text_md5").distinct()
-    digest = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    return drop_keys(docs, digest, bad)
+    digest = F.unhex(F.md5(F.coalesce(F.col(named_apart(docs, text_col)), F.lit("")).cast("binary")))
+    return together(drop_keys(apart(docs), digest, bad), docs)

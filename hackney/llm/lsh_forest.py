@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hackney.llm.common import drop_keys, shuffle_partitions, stored
+from hackney.llm.common import apart, drop_keys, named_apart, shuffle_partitions, stored, together
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -398,9 +398,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows with that id, the first in the table).  Rows are told by a number that
     is stored with them: one computed anew in each scan follows the scan's
     splits, which change with the live cores."""
-    docs = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    joined = stored(_joined(docs, id_col, text_col, THRESHOLD, TREES, MAX_DEPTH, RECALL, F.col("__row")), "joined")
+    given, id_col, text_col = docs, named_apart(docs, id_col), named_apart(docs, text_col)
+    docs = stored(apart(docs).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    joined = stored(_joined(docs, id_col, text_col, THRESHOLD, TREES, MAX_DEPTH, RECALL, F.col("row")), "joined")
     first = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))
     kept = joined.groupBy("group").agg(F.min(first).getField("row").alias("kept"))
     others = joined.join(kept, "group").where("row <> kept").select("row")
-    return drop_keys(docs, F.col("__row"), others).drop("__row")
+    return together(drop_keys(docs, F.col("row"), others), given)

@@ -32,7 +32,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hackney.llm.common import stored
+from hackney.llm.common import apart, named_apart, stored, together
 
 # The base patterns, in the order of their kinds.
 BASE = {
@@ -353,8 +353,8 @@ def redact(docs: DataFrame, text_col: str = "text", model: Model | None = None)
     """``docs`` with every span replaced by its kind in angle brackets (spans
     that overlap become one, named after the first)."""
     model = model or learn(docs, text_col)
-    named = docs.withColumn("__text", F.coalesce(F.col(text_col), F.lit("")))
-    voted = _voted_docs(named.withColumnRenamed("base", "__base").withColumnRenamed("loose", "__loose"), "__text")
+    plain, written = apart(docs), named_apart(docs, text_col)
+    voted = _voted_docs(plain.withColumn("__text", F.coalesce(F.col(written), F.lit(""))), "__text")
     spans = F.concat("base", F.filter("loose", lambda s: _accepted(s, model)))
     by_start = F.array_sort(F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
@@ -367,6 +367,5 @@ def redact(docs: DataFrame, text_col: str = "text", model: Model | None = None)
                 F.substring(F.col("__text"), acc["at"] + 1, s["start"] - acc["at"]),
                 F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))))).alias("parts")),
         lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(F.col("__text"), acc["at"] + 1, F.length("__text"))))
-    clean = F.when(F.size(spans) > 0, walked).otherwise(F.col(text_col))
-    out = voted.withColumn(text_col, clean).drop("__text", "base", "loose")
-    return out.withColumnRenamed("__base", "base").withColumnRenamed("__loose", "loose").select(*docs.columns)
+    clean = F.when(F.size(spans) > 0, walked).otherwise(F.col(written))
+    return together(voted.withColumn(written, clean), docs)

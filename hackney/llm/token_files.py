@@ -66,9 +66,9 @@ _LETTERS = byte_letters()
 
 @lru_cache(maxsize=2)
 def load(path: str) -> Tokenizer:
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True    # their strings are ordinary text here
-    return tokenizer
+    """The file's tokenizer with the library's own settings: the string of a
+    special token in a text is that token."""
+    return Tokenizer.from_file(path)
 
 
 class Pieces(dict):
@@ -111,6 +111,7 @@ class Encoder:
         self.cache = cache
         self.heads, self.words, self.wholes = (Pieces(tokenizer, dtype, lead) for lead in ("", " ", ""))
         self.newline = self.wholes["\n"]
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def _renewed(self, known: Pieces) -> Pieces:
         if len(known) <= self.cache:
@@ -118,6 +119,8 @@ class Encoder:
         return Pieces(known.tokenizer, known.dtype, known.lead, dict(known))
 
     def _text(self, text: str) -> bytes:
+        if any(token in text for token in self.special):     # it cuts the text where the pieces do not
+            return self.heads._bytes(self.heads.tokenizer.encode(text, add_special_tokens=False).ids)
         if _RUN.search(text):
             return b"".join(map(self.wholes.__getitem__, _CUT.split(text)))
         words = self.words.__getitem__
