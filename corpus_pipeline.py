@@ -3,8 +3,16 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and
 returns a DataFrame, which is written as Parquet to the shared folder and
 reread as the next stage's docs.  All but the last return the columns of
-documents.  Tables that a stage stores for itself are deleted when the next
-stage starts: its output is on disk by then.
+documents, in any number and of any name.  A stage's result is lazy and may read
+tables that the stage stored; only `run`, which has written the result, deletes
+them.
+
+Edge cases: a null text counts as the empty text and stays null; texts without
+ten words go at the first stage; of equal or near-equal documents the one with
+the smallest id stays (of rows with that id the first, ids before none), so of
+repeated rows one; documents without an id are judged like others; empty tables
+give empty results; other columns, nulls included, pass through unchanged, but
+for ``n_chars``, which follows the redacted text where it is not null.
 """
 
 from __future__ import annotations
@@ -19,18 +27,13 @@ from hackney.llm import byte_bpe, common, decontam, lsh_forest, pii, quality_cas
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-_LAST = [0, 0]      # marks around the tables that the stage before stored
 
 
 def _stage(f: Stage) -> Stage:
     @wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         common.prepare(spark)
-        common.release(spark, *_LAST)
-        _LAST[0] = common.stored_so_far()
-        out = f(spark, docs, sf_dir)
-        _LAST[1] = common.stored_so_far()
-        return out
+        return f(spark, docs, sf_dir)
     return run_stage
 
 
@@ -56,8 +59,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 @_stage
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind; n_chars follows the new text."""
-    clean = pii.redact(docs).withColumn("__n", F.length("text").cast("long"))
-    return clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.col("__n"))).drop("__n")
+    length = "n"
+    while length in docs.columns:
+        length += "_"
+    clean = pii.redact(docs).withColumn(length, F.length("text").cast("long"))
+    return clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.col(length))).drop(length)
 
 
 @_stage
@@ -82,12 +88,14 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after another over the documents of ``sf_dir``."""
     common.prepare(spark)
     docs = common.table(spark, sf_dir, "documents")
-    before = None
+    before = None           # the mark of the table that holds docs
     for name, stage in STAGES[:-1]:
-        out = stage(spark, docs, sf_dir)
         mark = common.stored_so_far()
+        out = stage(spark, docs, sf_dir)
+        until = common.stored_so_far()
         docs = common.stored(out, name)
+        common.release(spark, mark, until)
         if before is not None:
             common.release(spark, before, before + 1)
-        before = mark
+        before = until
     return STAGES[-1][1](spark, docs, sf_dir)
