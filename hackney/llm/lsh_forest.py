@@ -1,4 +1,4 @@
-"""N-gram Jaccard join with MinHash banding and exact verification.
+"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
 
 Texts are compared as sets of five-word shingles (words: runs of non-blank
 characters in lower case; a text of one to four words is one shingle).  Two
@@ -6,20 +6,30 @@ texts are linked if their sets' Jaccard similarity is 0.8 or more.
 
 1. Texts with equal word sequences are one class; everything after works on
    one text a class, so copies are never expanded into pairs.
-2. Each class gets ``trees`` prefixes: hashes of a tree's first minhashes.  Two
-   texts meet in a tree if its prefixes are equal.  Their length is one for all
-   texts, set before any is read: the largest up to ``max_depth`` with which the
-   expected recall of a pair at the threshold reaches ``recall`` (`depth_for`).
-   This is banding with a fixed depth; no tries are kept or searched.
-3. A bucket (one prefix of one tree) is cut into blocks of at most about
-   ``BLOCK`` texts, and each pair of blocks is a tile.  Tiles are the unit of
-   work: their size is bounded whatever the bucket's.  A pair of texts counts
-   in the first tree where it meets, so it is compared once.
-4. Texts with such a pair are shipped to their tile, where the pairs'
+2. Each class gets a label in each of ``trees`` trees: ``LEVELS`` minhashes of
+   eight bits, the first in the highest byte.  Labels in order are the leaves of
+   a prefix trie; labels with equal first k bytes are below one node of level k.
+3. A text starts with its whole labels and shortens its prefix a level at a time
+   until a partner of the least similarity that its own set's size admits (of 7
+   shingles 6/7, of many 0.8; `least_similarity`) is met in some tree with
+   probability ``recall`` (`depths`).  Two texts meet in a tree if they agree on
+   the longer of their two prefixes: their similarity is at least what either
+   size admits, so the longer prefix has the target recall for this pair too.
+4. The subtrees below the shortest prefix of any text are shuffled as units and
+   sorted by label.  A large one is cut into blocks of at most about ``BLOCK``
+   texts, and each pair of blocks is a tile.  In a tile the levels are walked
+   from the longest prefix to the shortest; leaves that share no node with
+   another leaf as far up as both go are dropped (`ascend`), and the rest is
+   paired.  A pair counts in the first tree where it meets, so it is compared
+   once.
+5. Texts with such a pair are shipped to their tile, where the pairs'
    shingle sets are intersected exactly.  A tile returns, for each text, the
    number of links and one edge of a spanning forest, never the list of pairs.
-5. Connected components over those edges (minimum labels with pointer jumping,
+6. Connected components over those edges (minimum labels with pointer jumping,
    each round written to the shared folder) are the near-duplicate groups.
+7. Statistics are joined back by class, those of classes with very many rows (or
+   of groups with very many classes) by broadcast of the counted few, so that no
+   task gets the rows of one large group.
 
 Edge cases: null and empty texts have no words and form one class without
 links to others; rows with equal ids keep one row each; an id that is null is
@@ -29,6 +39,7 @@ result; columns other than id and text are not read by `join`.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,25 +48,46 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hackney.llm.common import apart, drop_keys, named_apart, shuffle_partitions, stored, together
+from hackney.llm.common import BROADCAST_KEYS, apart, drop_keys, named_apart, shuffle_partitions, stored, together
 
 SHINGLE = 5
 THRESHOLD = 0.8
-TREES, MAX_DEPTH, RECALL = 28, 6, 0.9999
+TREES, RECALL = 28, 0.9999
+LEVELS = 8                 # minhashes of eight bits in a label, which is one 64-bit number
+SMALL = 64                 # sets up to this size admit few similarities; above, the threshold stands
 BLOCK = 256
+HOT = 1000                 # rows of one class, or classes of one group, that are joined apart
 SEED = 20_011
 
 
-def depth_for(threshold: float = THRESHOLD, trees: int = TREES, max_depth: int = MAX_DEPTH,
-              recall: float = RECALL) -> int:
-    """The longest prefix at which a pair of similarity ``threshold`` meets in
-    at least one tree with probability ``recall``."""
-    for depth in range(max_depth, 0, -1):
-        if 1 - (1 - threshold ** depth) ** trees >= recall:
+# ---- how far a prefix is shortened
+
+def depth_for(similarity: float = THRESHOLD, trees: int = TREES, recall: float = RECALL) -> int:
+    """The longest prefix at which a pair of ``similarity`` meets in at least
+    one tree with probability ``recall``."""
+    for depth in range(LEVELS, 0, -1):
+        if 1 - (1 - min(1.0, similarity) ** depth) ** trees >= recall:
             return depth
     raise ValueError("even prefixes of length one miss the target recall: use more trees")
 
 
+def least_similarity(n: int, threshold: float = THRESHOLD) -> float:
+    """The least similarity of ``threshold`` or more that a set of ``n`` can
+    have with any other set."""
+    found = 1.0
+    for m in range(math.ceil(threshold * n - 1e-9), math.floor(n / threshold + 1e-9) + 1):
+        shared = math.ceil(threshold * (n + m) / (1 + threshold) - 1e-9)
+        if shared <= min(n, m):
+            found = min(found, shared / (n + m - shared))
+    return found
+
+
+def depths(threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL) -> np.ndarray:
+    """The prefix length of a set of each size up to `SMALL`; at 0, of larger sets."""
+    return np.asarray([depth_for(threshold, trees, recall),
+                       *(depth_for(least_similarity(n, threshold), trees, recall) for n in range(1, SMALL + 1))])
+
+
 def normalised(text: Column) -> Column:
     """Words in lower case with one blank between."""
     return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+", " "))
@@ -93,16 +125,15 @@ def _powers(n: int, base: int) -> np.ndarray:
 
 
 class Signer:
-    """Prefix hashes of the forest's trees for many texts at once."""
+    """Labels of the forest's trees, and prefix lengths, for many texts at once."""
 
     BASE = 0x9E3779B97F4A7C15
     INVERSE = pow(BASE, -1, 1 << 64)
 
-    def __init__(self, trees: int, depth: int):
-        self.trees, self.depth = trees, depth
-        self.mult = _odd_multipliers(trees * depth, 32)
-        self.flip = np.random.default_rng(SEED).integers(0, 1 << 32, trees * depth, np.uint32)
-        self.fold = _odd_multipliers(depth, 64)
+    def __init__(self, trees: int, depth_of: np.ndarray):
+        self.trees, self.depth_of = trees, depth_of
+        self.mult = _odd_multipliers(trees * LEVELS, 32)
+        self.flip = np.random.default_rng(SEED).integers(0, 1 << 32, trees * LEVELS, np.uint32)
         self.power = self.inverse = np.zeros(0, np.uint64)
 
     def _rolling(self, data: bytes) -> np.ndarray:
@@ -118,10 +149,15 @@ class Signer:
         h *= np.uint64(0xD6E8FEB86659FD93)
         return (h >> np.uint64(32)).astype(np.uint32)
 
-    def sign(self, datas: list[bytes]) -> np.ndarray:
-        """(len(datas), trees) prefix hashes; no text may be empty."""
+    def _depth(self, hashes: np.ndarray) -> int:
+        n = len(hashes)
+        return int(self.depth_of[len(np.unique(hashes)) if n <= SMALL else 0])
+
+    def sign(self, datas: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """(len(datas), trees) labels, and each text's prefix length; no text may
+        be empty."""
         hashes = [self._rolling(d) for d in datas]
-        lowest = np.empty((self.trees * self.depth, len(datas)), np.uint32)
+        lowest = np.empty((self.trees * LEVELS, len(datas)), np.uint32)
         at = 0
         while at < len(hashes):            # some texts at a time, to stay in the cache
             end, n = at, 0
@@ -135,33 +171,36 @@ class Signer:
                 mixed ^= mixed >> np.uint32(15)
                 lowest[k, at:end] = np.minimum.reduceat(mixed, cuts)
             at = end
-        labels = lowest.reshape(self.trees, self.depth, -1).astype(np.uint64)
-        prefix = np.zeros((self.trees, len(datas)), np.uint64)
-        for k in range(self.depth):
-            prefix = (prefix ^ labels[:, k]) * self.fold[k]
-            prefix ^= prefix >> np.uint64(31)
-        return prefix.T
+        # A minhash is a small number; its low bits, mixed once more, are uniform.
+        levels = ((lowest * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint64).reshape(self.trees, LEVELS, -1)
+        label = np.zeros((self.trees, len(datas)), np.uint64)
+        for k in range(LEVELS):
+            label = (label << np.uint64(8)) | levels[:, k]
+        return np.ascontiguousarray(label.T), [self._depth(h) for h in hashes]
 
 
-def signed(docs: DataFrame, id_col: str, text_col: str, trees: int, depth: int, row: Column) -> DataFrame:
-    """``row, id, key, prefixes`` of every row, stored.  ``key`` tells texts
-    apart (MD5 of the words); ``prefixes`` is null for a text without words."""
+def signed(docs: DataFrame, id_col: str, text_col: str, trees: int, depth_of: np.ndarray, row: Column) -> DataFrame:
+    """``row, id, key, labels, depth`` of every row, stored.  ``key`` tells texts
+    apart (MD5 of the words); ``labels`` is null for a text without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = Signer(trees, depth)
+        signer = Signer(trees, depth_of)
         for batch in batches:
             datas = [t.encode() for t in batch.column(3).to_pylist()]
             some = [k for k, d in enumerate(datas) if d]
-            out: list = [None] * len(datas)
+            labels: list = [None] * len(datas)
+            depth: list = [None] * len(datas)
             if some:
-                for k, p in zip(some, signer.sign([datas[k] for k in some]).view(np.int64), strict=True):
-                    out[k] = p
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.list_(pa.int64()))],
-                                             ["row", "id", "key", "prefixes"])
+                found, lengths = signer.sign([datas[k] for k in some])
+                for k, p, n in zip(some, found.view(np.int64), lengths, strict=True):
+                    labels[k], depth[k] = p, n
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(labels, pa.list_(pa.int64())), pa.array(depth, pa.int32())],
+                ["row", "id", "key", "labels", "depth"])
 
     norm = normalised(F.col(text_col))
     rows = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("id"),
                        F.unhex(F.md5(norm.cast("binary"))).alias("key"), norm.alias("norm"))
-    return stored(rows.mapInArrow(run, "row long, id long, key binary, prefixes array<long>"), "signatures")
+    return stored(rows.mapInArrow(run, "row long, id long, key binary, labels array<long>, depth int"), "signatures")
 
 
 # ---- tiles
@@ -194,22 +233,42 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tup
         yield held, np.asarray([0, held.num_rows])
 
 
-def _prefix_matrix(rows: pa.Table, trees: int) -> np.ndarray:
-    column = rows.column("prefixes").combine_chunks()
+def _labels(rows: pa.Table, trees: int) -> np.ndarray:
+    column = rows.column("labels").combine_chunks()
     flat = column.flatten() if isinstance(column, pa.ListArray) else pa.concat_arrays(column.chunks).flatten()
-    return flat.to_numpy().reshape(-1, trees)
+    return flat.to_numpy().view(np.uint64).reshape(-1, trees)
+
+
+def _width(depth: np.ndarray) -> np.ndarray:
+    """Labels that agree on ``depth`` levels differ by less than this, bit by bit."""
+    return np.uint64(1) << (np.uint64(8) * (np.uint64(LEVELS) - depth.astype(np.uint64)))
+
+
+def ascend(leaves: np.ndarray, depth: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Which of the leaves (labels of one tree, in order inside each group that
+    starts at a cut) share a node with another, at a level that neither has left.
+    From the longest prefix up, a level at a time; a leaf goes up to its depth."""
+    meets = np.zeros(len(leaves), bool)
+    first = np.zeros(len(leaves), bool)
+    first[cuts[cuts < len(leaves)]] = True
+    apart_by = np.zeros(len(leaves), np.uint64)
+    apart_by[1:] = leaves[1:] ^ leaves[:-1]
+    for level in range(LEVELS, int(depth.min()) - 1, -1):
+        node = np.cumsum(first | (apart_by >= _width(np.asarray(level)))) - 1
+        here = depth <= level
+        meets |= here & (np.bincount(node[here], minlength=node[-1] + 1)[node] > 1)
+    return meets
 
 
-def _own_pairs(prefixes: np.ndarray, blocks: np.ndarray, tree: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+def _own_pairs(labels: np.ndarray, depth: np.ndarray, blocks: np.ndarray, tree: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
     """The pairs of a tile (between its two blocks, or inside its one block)
-    that meet in no tree before ``tree``."""
-    n = len(prefixes)
-    met = np.zeros((n, n), bool)
+    that meet in ``tree`` and in none before."""
+    width = _width(np.maximum(depth[:, None], depth[None, :]))
+    own = (labels[:, tree][:, None] ^ labels[:, tree][None, :]) < width
+    own &= np.tri(len(labels), k=-1, dtype=bool).T if a == b else (blocks == a)[:, None] & (blocks == b)[None, :]
     for t in range(tree):
-        met |= prefixes[:, t][:, None] == prefixes[:, t][None, :]
-    if a == b:
-        return np.nonzero(np.triu(~met, 1))
-    return np.nonzero(~met & (blocks == a)[:, None] & (blocks == b)[None, :])
+        own &= (labels[:, t][:, None] ^ labels[:, t][None, :]) >= width
+    return np.nonzero(own)
 
 
 def _tiles(members: DataFrame) -> DataFrame:
@@ -224,25 +283,35 @@ def _tiles(members: DataFrame) -> DataFrame:
 
 def _in_tiles(members: DataFrame) -> DataFrame:
     n = shuffle_partitions(members.sparkSession)
-    return members.repartition(n, *TILE).sortWithinPartitions(*TILE, "key")
+    return members.repartition(n, *TILE).sortWithinPartitions(*TILE, "leaf", "key")
 
 
 def _with_own_pairs(members: DataFrame, trees: int) -> DataFrame:
     """The tile members that have a pair to compare in their tile."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, cuts in _groups(batches, TILE):
-            prefixes = _prefix_matrix(rows, trees)
-            tree, block, a, b = (rows.column(n).to_numpy() for n in ("tree", "block", "block_a", "block_b"))
+            starts = cuts[cuts < rows.num_rows]
+            leaf = rows.column("leaf").to_numpy().view(np.uint64)
+            keep = ascend(leaf, rows.column("depth").to_numpy(), starts)
+            group = (np.cumsum(np.bincount(starts, minlength=rows.num_rows)) - 1)[keep]
+            rows = rows.filter(pa.array(keep))
+            if not rows.num_rows:
+                continue
+            labels = _labels(rows, trees)
+            tree, block, a, b, depth = (rows.column(n).to_numpy() for n in ("tree", "block", "block_a", "block_b", "depth"))
             keep = np.zeros(rows.num_rows, bool)
-            sizes = np.diff(np.append(cuts, rows.num_rows) if cuts[-1] != rows.num_rows else cuts)
-            starts = cuts[:len(sizes)]
+            starts = np.flatnonzero(np.diff(group, prepend=-1))
+            sizes = np.diff(starts, append=rows.num_rows)
             two = starts[sizes == 2]       # most groups are pairs: all at once
             if len(two):
-                met = (prefixes[two] == prefixes[two + 1]) & (np.arange(trees) < tree[two][:, None])
-                own = ~met.any(axis=1) & ((a[two] == b[two]) | (block[two] != block[two + 1]))
+                width = _width(np.maximum(depth[two], depth[two + 1]))
+                met = (labels[two] ^ labels[two + 1]) < width[:, None]
+                before = np.arange(trees) < tree[two][:, None]
+                own = met[np.arange(len(two)), tree[two]] & ~(met & before).any(axis=1)
+                own &= (a[two] == b[two]) | (block[two] != block[two + 1])
                 keep[two[own]] = keep[two[own] + 1] = True
             for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-                i, j = _own_pairs(prefixes[s:s + n], block[s:s + n], int(tree[s]), int(a[s]), int(b[s]))
+                i, j = _own_pairs(labels[s:s + n], depth[s:s + n], block[s:s + n], int(tree[s]), int(a[s]), int(b[s]))
                 keep[s + i] = keep[s + j] = True
             if keep.any():
                 yield from rows.filter(pa.array(keep)).combine_chunks().to_batches()
@@ -296,13 +365,14 @@ def _links(members: DataFrame, trees: int, threshold: float) -> DataFrame:
     the smallest text linked to it inside the tile, directly or not."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, cuts in _groups(batches, TILE):
-            prefixes = _prefix_matrix(rows, trees)
-            tree, block, a, b, size = (rows.column(n).to_numpy() for n in ("tree", "block", "block_a", "block_b", "size"))
+            labels = _labels(rows, trees)
+            tree, block, a, b, size, depth = (
+                rows.column(n).to_numpy() for n in ("tree", "block", "block_a", "block_b", "size", "depth"))
             keys, norm = rows.column("key").to_pylist(), rows.column("norm")
             out: list[list] = [[], [], [], []]
             ends = [*cuts[1:].tolist(), rows.num_rows] if cuts[-1] != rows.num_rows else cuts[1:].tolist()
             for s, e in zip(cuts.tolist(), ends, strict=False):
-                i, j = _own_pairs(prefixes[s:e], block[s:e], int(tree[s]), int(a[s]), int(b[s]))
+                i, j = _own_pairs(labels[s:e], depth[s:e], block[s:e], int(tree[s]), int(a[s]), int(b[s]))
                 if not len(i):
                     continue
                 sets = [shingle_set(t.encode()) for t in norm.slice(s, e - s).to_pylist()]
@@ -350,19 +420,36 @@ def components(edges: DataFrame, a: str = "key", b: str = "root") -> DataFrame:
 
 # ---- the join
 
-def _joined(docs: DataFrame, id_col: str, text_col: str, threshold: float, trees: int, max_depth: int,
-            recall: float, row: Column) -> DataFrame:
-    """``row, id, key, n_copies, n_texts, n_links, group`` of each row."""
-    depth = depth_for(threshold, trees, max_depth, recall)
-    rows = signed(docs, id_col, text_col, trees, depth, row)
-    classes = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.first("prefixes").alias("prefixes")), "classes")
-    buckets = classes.select("key", F.posexplode("prefixes").alias("tree", "prefix"))
-    shared = buckets.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("bucket_size")).where("bucket_size > 1")
-    met = (buckets.join(shared, ["tree", "prefix"])
+def join_hot(many: DataFrame, one: DataFrame, key: str, weight: str) -> DataFrame:
+    """``many`` joined on ``key`` to the stored ``one``, which has a row a key and
+    in ``weight`` the number of its rows in ``many``.  Keys with more than `HOT`
+    rows are joined apart, by broadcast if there are few of them, so that their
+    rows stay where they are; if there are many, none is a large part."""
+    hot = one.where(F.col(weight) > HOT)
+    if not 0 < hot.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        return many.join(one, key)
+    cold = many.join(F.broadcast(hot.select(key)), key, "left_anti").join(one.where(F.col(weight) <= HOT), key)
+    return cold.unionByName(many.join(F.broadcast(hot), key))
+
+
+def _joined(docs: DataFrame, id_col: str, text_col: str, threshold: float, trees: int,
+            recall: float, row: Column) -> tuple[DataFrame, DataFrame]:
+    """``row, id, key`` of each row; and ``key, size, n_texts, n_links, group,
+    class_id, kept, group_size`` of each class, stored: ``class_id`` is the least
+    id of the class's group (none before null), ``kept`` that row."""
+    depth_of = depths(threshold, trees, recall)
+    rows = signed(docs, id_col, text_col, trees, depth_of, row)
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row")))
+    classes = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.first("labels").alias("labels"),
+                                             F.first("depth").alias("depth"), least.alias("least")), "classes")
+    leaves = classes.select("key", F.posexplode("labels").alias("tree", "leaf")).select(
+        "key", "tree", F.shiftrightunsigned("leaf", 8 * (LEVELS - int(depth_of.min()))).alias("prefix"))
+    shared = leaves.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("bucket_size")).where("bucket_size > 1")
+    met = (leaves.join(shared, ["tree", "prefix"])
            .groupBy("key").agg(F.collect_list(F.struct("tree", "prefix", "bucket_size")).alias("met")))   # at most one a tree
-    members = classes.join(met, "key").select(
-        "key", "size", "prefixes", F.explode("met").alias("m")).select("key", "size", "prefixes", "m.*")
-    members = members.select("key", "size", "prefixes", F.col("tree").cast("long").alias("tree"), "prefix", "bucket_size")
+    members = classes.join(met, "key").select("key", "size", "labels", "depth", F.explode("met").alias("m"))
+    members = members.select("key", "size", "labels", "depth", F.col("m.tree").cast("long").alias("tree"), "m.prefix",
+                             F.get("labels", "m.tree").alias("leaf"), "m.bucket_size")
     asked = stored(_with_own_pairs(_tiles(members), trees), "tile-members")
     norm = normalised(F.col(text_col))
     texts = (docs.select(F.unhex(F.md5(norm.cast("binary"))).alias("key"), norm.alias("norm"))
@@ -371,25 +458,27 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, threshold: float, trees
     links = stored(_links(asked.join(texts, "key"), trees, threshold), "links")
     labels = components(links)
     counts = links.groupBy("key").agg(F.sum("n_texts").alias("n_texts"), F.sum("n_docs").alias("n_docs"))
-    known = (classes.select("key", "size").join(counts, "key", "left")
-             .join(labels.select(F.col("node").alias("key"), "label"), "key", "left")
-             .select("key", "size", F.coalesce("n_texts", F.lit(0)).alias("n_texts"),
-                     (F.coalesce("n_docs", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-                     F.coalesce("label", "key").alias("group")))
-    return rows.select("row", "id", "key").join(known, "key")
+    known = stored(classes.select("key", "size", "least").join(counts, "key", "left")
+                   .join(labels.select(F.col("node").alias("key"), "label"), "key", "left")
+                   .select("key", "size", "least", F.coalesce("n_texts", F.lit(0)).alias("n_texts"),
+                           (F.coalesce("n_docs", F.lit(0)) + F.col("size") - 1).alias("n_links"),
+                           F.coalesce("label", "key").alias("group")), "known")
+    groups = stored(known.groupBy("group").agg(F.min("least").alias("first"), F.sum("size").alias("group_size"),
+                                               F.count(F.lit(1)).alias("n_classes")), "groups")
+    grouped = join_hot(known.drop("least"), groups, "group", "n_classes").select(
+        "key", "size", "n_texts", "n_links", F.col("first.id").alias("class_id"), F.col("first.row").alias("kept"), "group_size")
+    return rows.select("row", "id", "key"), stored(grouped, "grouped")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-         trees: int = TREES, max_depth: int = MAX_DEPTH, recall: float = RECALL) -> DataFrame:
+         trees: int = TREES, recall: float = RECALL) -> DataFrame:
     """One row a document: ``id, class_id`` (the smallest id of its connected
     group of copies and near copies), ``n_links`` (other documents it is linked
     to, copies included), ``n_texts`` (different texts it is linked to),
     ``n_copies`` (documents with the same words, itself included) and
     ``group_size``."""
-    joined = stored(_joined(docs, id_col, text_col, threshold, trees, max_depth, recall,
-                            F.monotonically_increasing_id()), "joined")
-    groups = joined.groupBy("group").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("group_size"))
-    return (joined.join(groups, "group")
+    rows, grouped = _joined(docs, id_col, text_col, threshold, trees, recall, F.monotonically_increasing_id())
+    return (join_hot(rows, grouped, "key", "size")
             .select(F.col("id").alias(id_col), "class_id", "n_links", "n_texts", F.col("size").alias("n_copies"), "group_size"))
 
 
@@ -400,8 +489,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     splits, which change with the live cores."""
     given, id_col, text_col = docs, named_apart(docs, id_col), named_apart(docs, text_col)
     docs = stored(apart(docs).withColumn("row", F.monotonically_increasing_id()), "numbered")
-    joined = stored(_joined(docs, id_col, text_col, THRESHOLD, TREES, MAX_DEPTH, RECALL, F.col("row")), "joined")
-    first = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))
-    kept = joined.groupBy("group").agg(F.min(first).getField("row").alias("kept"))
-    others = joined.join(kept, "group").where("row <> kept").select("row")
+    rows, grouped = _joined(docs, id_col, text_col, THRESHOLD, TREES, RECALL, F.col("row"))
+    others = join_hot(rows, grouped, "key", "size").where("row <> kept").select("row")
     return together(drop_keys(docs, F.col("row"), others), given)
