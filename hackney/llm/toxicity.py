@@ -226,7 +226,7 @@ class Restorer:
         only, kept for the next time unless it is long."""
         if len(self.known) > 300_000:
             self.known.clear()
-        word = token.strip(",.;:?!").lower()
+        word = token.strip(",.;:?").rstrip("!").lower()
         if len(word) > 1 and word.isascii() and word.isalpha() and not _TWICE.search(word):
             self.known[token] = _NOTHING   # most words: the same as below, sooner
             return _NOTHING
@@ -267,12 +267,12 @@ class Restorer:
             self.known[key] = found, ""
         return self.known[key][0]
 
-    def restored_words(self, text: str) -> set[bytes]:
-        """The words of the text, with what its disguised words stand for."""
-        found = {w.strip(b"'") for w in text.encode().translate(_LETTERS).split()}
-        found.update(w.encode() for w in self.readings(text))
-        found.discard(b"")
-        return found
+    def restored_words(self, text: str) -> tuple[list[bytes], int]:
+        """The words of the text and then what its disguised words stand for, if
+        that is another word; and the number of the former."""
+        plain = {w.strip(b"'") for w in text.encode().translate(_LETTERS).split()} - {b""}
+        read = {w.encode() for w in self.readings(text)} - plain
+        return sorted(plain) + sorted(read), len(plain)
 
 
 # ---- the classifier
@@ -313,7 +313,8 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 50, ridge: float = 1e-3)
 
 def labelled_words(docs: DataFrame, labels: DataFrame, model: CharModel, id_col: str, text_col: str,
                    label_col: str) -> DataFrame:
-    """``label, words`` of each different text of the labelled training fold.
+    """``label, words, n_plain`` of each different text of the labelled training
+    fold; the first ``n_plain`` words are written plainly in it.
     The labels are broadcast if counted few; texts become words before they are
     shuffled."""
     marks = stored(labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__label"))
@@ -326,23 +327,25 @@ def labelled_words(docs: DataFrame, labels: DataFrame, model: CharModel, id_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
         for batch in batches:
-            found = [sorted(restorer.restored_words(t)) for t in texts(batch.column(2))]
+            found = [restorer.restored_words(t) for t in texts(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int32()), batch.column(1), pa.array(found, pa.list_(pa.binary()))],
-                ["label", "digest", "words"])
+                [batch.column(0).cast(pa.int32()), batch.column(1), pa.array([w for w, _ in found], pa.list_(pa.binary())),
+                 pa.array([n for _, n in found], pa.int32())], ["label", "digest", "words", "n_plain"])
 
-    return stored(rows.mapInArrow(run, "label int, digest binary, words array<binary>").groupBy("digest").agg(
-        F.max("label").alias("label"), F.first("words").alias("words")).select("label", "words"), "labelled-words")
+    return stored(rows.mapInArrow(run, "label int, digest binary, words array<binary>, n_plain int").groupBy("digest").agg(
+        F.max("label").alias("label"), F.first("words").alias("words"), F.first("n_plain").alias("n_plain")).drop("digest"), "labelled-words")
 
 
 def word_weights(rows: DataFrame, pos: int, neg: int) -> DataFrame:
     """``word, weight`` of the words that speak for the label, stored: log odds
-    shrunk towards no opinion by their standard error, where that leaves any."""
+    shrunk towards no opinion by their standard error, where that leaves any.
+    Readings count, but a word that no text has plainly is none."""
     odds = (F.log((F.col("pos") + 0.5) / F.lit(pos + 1.0)) - F.log((F.col("neg") + 0.5) / F.lit(neg + 1.0)))
     error = F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
-    return stored(rows.select(F.explode("words").alias("word"), (F.col("label") > 0).cast("long").alias("t")).groupBy("word")
-                  .agg(F.sum("t").alias("pos"), F.sum(1 - F.col("t")).alias("neg"))
-                  .where(F.col("pos") + F.col("neg") >= MIN_DOCS).select("word", (odds - 1.64 * error).alias("weight"))
+    found = rows.select(F.posexplode("words").alias("pos", "word"), "n_plain", (F.col("label") > 0).cast("long").alias("t"))
+    return stored(found.groupBy("word").agg(F.sum("t").alias("pos"), F.sum(1 - F.col("t")).alias("neg"),
+                                            F.max(F.col("pos") < F.col("n_plain")).alias("plain"))
+                  .where(F.col("plain") & (F.col("pos") + F.col("neg") >= MIN_DOCS)).select("word", (odds - 1.64 * error).alias("weight"))
                   .where("weight > 0"), "word-weights")
 
 
@@ -429,7 +432,7 @@ def _score_by_join(rows: DataFrame, model: CharModel, found: Classifier, table:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
         for batch in batches:
-            said = [(sorted(restorer.restored_words(t)), restorer.readings(t)) for t in texts(batch.column(2))]
+            said = [(restorer.restored_words(t)[0], restorer.readings(t)) for t in texts(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array([w for w, _ in said], pa.list_(pa.binary())), pa.array([r for _, r in said], pa.list_(pa.string()))],
                 ["id", "held_out", "words", "restored"])
