@@ -34,6 +34,8 @@ import re
 import unicodedata
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property, lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -70,16 +72,15 @@ _LETTERS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >=
 
 # ---- the character model
 
-def letter_codes(text: str) -> list[int]:
-    """1..26 for a..z; 0 for anything else (a word's edge)."""
-    return [ord(c) - 96 if "a" <= c <= "z" else 0 for c in text]
-
-
 @dataclass
 class CharModel:
     """-log p(letter | two before), 27 x 27 x 27, edges as code 0."""
     cost: np.ndarray
 
+    @cached_property
+    def flat(self) -> list[float]:
+        return self.cost.ravel().tolist()
+
     @staticmethod
     def of_counts(counts: np.ndarray) -> CharModel:
         pair = counts.sum(0)
@@ -115,6 +116,10 @@ def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 # ---- the lattice
 
+_CODES = {chr(96 + k): k for k in range(1, 27)}
+
+
+@lru_cache(10_000)
 def latin(ch: str) -> str:
     """The letter a-z that a lower-case letter is or is drawn like, or ""."""
     if "a" <= ch <= "z":
@@ -153,27 +158,31 @@ def restore(written: str, model: CharModel) -> str:
     """The likeliest words behind a disguised spelling, by Viterbi search.  A
     state is the last two letters read; each written character adds the arcs of
     its readings, and a blank starts anew after the cost of a word's end."""
-    cost = model.cost
-    best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    for readings in arcs(written):
-        step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-        for (a, b), (total, path) in best.items():
+    lattice = arcs(written)
+    if all(len(readings) == 1 for readings in lattice):
+        return "".join(readings[0][0] for readings in lattice).strip()      # one way through
+    cost, looked_up = model.flat, _CODES
+    best: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}      # by 27 * the letter before last + the last
+    for readings in lattice:
+        step: dict[int, tuple[float, tuple | None]] = {}
+        for state, (total, path) in best.items():
             for letter, price in readings:
                 new = total + price
                 if not letter:
-                    state = (a, b)
+                    to = state
                 elif letter == " ":
-                    if not b:
+                    if not state % 27:
                         continue
-                    state, new = (0, 0), new + float(cost[a, b, 0])
+                    to, new = 0, new + cost[state * 27]
                 else:
-                    c = ord(letter) - 96
-                    state, new = (b, c), new + float(cost[a, b, c])
-                if state not in step or new < step[state][0]:
-                    step[state] = (new, (path, letter) if letter else path)
+                    c = looked_up[letter]
+                    to, new = state % 27 * 27 + c, new + cost[state * 27 + c]
+                old = step.get(to)
+                if old is None or new < old[0]:
+                    step[to] = (new, (path, letter) if letter else path)
         best = step
-    _, path = min(((total + (float(cost[a, b, 0]) if b else 0.0), path) for (a, b), (total, path) in best.items()),
-                  key=lambda x: x[0])
+    _, path = min(((total + (cost[state * 27] if state % 27 else 0.0), path) for state, (total, path) in best.items()),
+                  key=itemgetter(0))
     out = []
     while path is not None:
         path, letter = path
@@ -224,7 +233,7 @@ class Restorer:
     def look_at(self, token: str) -> tuple[list[str], str]:
         """The words that a token stands for, and its character if it has one
         only, kept for the next time unless it is long."""
-        if len(self.known) > 300_000:
+        if len(self.known) > 200_000:
             self.known.clear()
         word = token.strip(",.;:?").rstrip("!").lower()
         if len(word) > 1 and word.isascii() and word.isalpha() and not _TWICE.search(word):
