@@ -151,9 +151,15 @@ def test_components_of_a_long_chain(spark):
 def test_model_gradients_and_scores():
     rng = np.random.default_rng(0)
     counts = rng.integers(0, 50, attention_lm.N_IDS).astype(float)
-    pairs = rng.integers(0, 3, (attention_lm.PAIRED + 1,) * 2).astype(float)
-    context = rng.random((attention_lm.N_IDS, attention_lm.ANCHORS + 1))
-    c = attention_lm.classes_of(counts, context, pairs, rng.integers(0, 2, attention_lm.N_IDS).astype(float))
+    of = rng.integers(0, attention_lm.CLASSES, attention_lm.N_IDS)
+    starts = rng.integers(0, 2, attention_lm.N_IDS).astype(float)
+    keys = np.sort(rng.choice(100 * attention_lm.N_IDS, 200_000, replace=False))
+    n = rng.integers(0, 4, len(keys))
+    size, second = attention_lm.N_IDS * attention_lm.CLASSES, keys % attention_lm.N_IDS
+    cell = keys // attention_lm.N_IDS * attention_lm.CLASSES + of[second]
+    pairs = np.stack([np.bincount(cell, w, size) for w in (
+        n, n > 0, np.maximum(n - attention_lm.DISCOUNT, 0) * starts[second])], 1).reshape(attention_lm.N_IDS, attention_lm.CLASSES, 3)
+    c = attention_lm.classes_of(counts, counts, of, pairs, starts)
     p = attention_lm.initial(c, counts)
     rows = rng.integers(0, 100, (3, attention_lm.CONTEXT))
     target = rng.integers(0, attention_lm.CLASSES, rows.size)
@@ -171,19 +177,58 @@ def test_model_gradients_and_scores():
     whole = attention_lm.forward(p, rows)[0][np.arange(rows.size), target]
     assert np.allclose(attention_lm.target_logs(p, rows, target), whole, atol=1e-4)
     # Probabilities of the next id sum to one, whatever stands before it.
-    said = attention_lm.forward(p, c.row[np.full((1, attention_lm.CONTEXT), 5)])[0][0]
-    last = c.slot[5]
-    total = (c.pairs[last, c.slot] * (c.slot < attention_lm.PAIRED) + c.rest[last] * np.exp(said[c.of] + c.share)).sum()
-    assert abs(total - 1) < 1e-3
+    text, last = np.arange(attention_lm.CONTEXT), 5
+    said = attention_lm.forward(p, c.row[np.append(attention_lm.END, text[:5])[None, :].repeat(attention_lm.CONTEXT, 1)[:, :attention_lm.CONTEXT]])
+    nexts = np.arange(attention_lm.N_IDS)
+    found = np.zeros(attention_lm.N_IDS)
+    mine = keys // attention_lm.N_IDS == last
+    found[second[mine]] = n[mine]
+    z = said[0][0]
+    each = np.exp(z[of]) * (np.maximum(found - attention_lm.DISCOUNT, 0) / c.seen[last, of] + c.rest[last, of] * np.exp(c.share[nexts]))
+    assert abs(each.sum() - 1) < 1e-3
+    assert abs(each[starts > 0].sum() - (np.exp(z) * c.opening[last]).sum()) < 1e-3
+
+
+def test_model_probabilities_of_a_text_by_hand():
+    """`id_logs` over overlapping windows against one window of the last ids each."""
+    rng = np.random.default_rng(4)
+    of = rng.integers(0, attention_lm.CLASSES, attention_lm.N_IDS)
+    starts = rng.integers(0, 2, attention_lm.N_IDS).astype(float)
+    counts = rng.integers(0, 50, attention_lm.N_IDS).astype(float)
+    ids = np.append(rng.integers(0, 40, 70), attention_lm.END).astype(np.int32)
+    ends = np.asarray([len(ids)])
+    before = attention_lm._before(ids, ends)
+    keys, n = np.unique(before * attention_lm.N_IDS + ids, return_counts=True)
+    cell = keys // attention_lm.N_IDS * attention_lm.CLASSES + of[keys % attention_lm.N_IDS]
+    size = attention_lm.N_IDS * attention_lm.CLASSES
+    pairs = np.stack([np.bincount(cell, w, size) for w in (
+        n, n > 0, (n - attention_lm.DISCOUNT) * starts[keys % attention_lm.N_IDS])], 1).reshape(attention_lm.N_IDS, attention_lm.CLASSES, 3)
+    c = attention_lm.classes_of(counts, counts, of, pairs, starts)
+    p = attention_lm.initial(c, counts)
+    logs, opens = attention_lm.id_logs(p, c, ids, ends, keys, n.astype(np.float32), batch=2)
+    count = dict(zip(keys.tolist(), n.tolist(), strict=True))
+    for at in range(len(ids)):
+        start = 0 if at < attention_lm.CONTEXT else ((at - attention_lm.CONTEXT) // attention_lm.STRIDE + 1) * attention_lm.STRIDE
+        rows = np.zeros((1, attention_lm.CONTEXT), np.int64)
+        rows[0, :at - start + 1] = before[start:at + 1]
+        z = attention_lm.forward(p, c.row[rows])[0].reshape(attention_lm.CONTEXT, -1)[at - start]
+        t, k = int(ids[at]), of[ids[at]]
+        same = {j % attention_lm.N_IDS: m for j, m in count.items() if j // attention_lm.N_IDS == before[at] and of[j % attention_lm.N_IDS] == k}
+        inside = (same[t] - attention_lm.DISCOUNT + attention_lm.DISCOUNT * len(same) * np.exp(c.share[t])) / sum(same.values())
+        assert abs(logs[at] - z[k] - np.log(inside)) < 1e-3
+    assert opens.max() <= 1e-3
 
 
 def test_words_are_mixed_with_their_share():
     rng = np.random.default_rng(1)
-    said, c, sizes = -rng.random(9) * 8, rng.integers(0, 4, 9), np.asarray([4, 1, 4])
-    got = attention_lm.mixtures(said, c, 50, sizes)
-    want = np.log10(np.asarray(attention_lm.MIXES)[None, :] * np.exp(said)[:, None] + (1 - np.asarray(attention_lm.MIXES))[None, :] * c[:, None] / 50)
+    said, begun, c, sizes = -rng.random(9) * 8, -rng.random(9), rng.integers(0, 4, 9), np.asarray([4, 1, 4])
+    same = c + rng.integers(0, 9, 9)
+    got = attention_lm.mixtures(said, begun, c, same, 50, sizes)
+    with np.errstate(invalid="ignore"):
+        first = np.where(c > 0, np.exp(begun) * c / same, 0)
+    want = np.log10(np.stack([m * np.exp(said) + (1 - m) * (b * first + (1 - b) * c / 50) for m, b in attention_lm.MIXES], 1))
     assert np.allclose(got, [want[:4].sum(0), want[4:5].sum(0), want[5:].sum(0)])
-    assert np.allclose(attention_lm.mixtures(said, c, 0, sizes)[2], said[5:].sum() / np.log(10))
+    assert np.allclose(attention_lm.mixtures(said, begun, c, same, 0, sizes)[2], said[5:].sum() / np.log(10))
 
 
 def test_odd_white_space_inside_words(spark):

@@ -43,27 +43,86 @@ def test_every_training_text_fits_the_mixture():
     row = _block([f"some words and number{k}" for k in range(50)])
     rng = np.random.default_rng(0)
     counts = rng.integers(0, 50, attention_lm.N_IDS).astype(float)
-    size = attention_lm.PAIRED + 1
-    classes = attention_lm.classes_of(counts, rng.random((attention_lm.N_IDS, attention_lm.ANCHORS + 1)), np.ones((size, size)),
-                                      attention_lm.begins_word(attention_lm.encoding(
-                                          attention_lm.public_tokenizers.path(attention_lm.RANK_FILE))).astype(float))
+    starts = attention_lm.begins_word(attention_lm.encoding(
+        attention_lm.public_tokenizers.path(attention_lm.RANK_FILE))).astype(float)
+    of = rng.integers(0, attention_lm.CLASSES, attention_lm.N_IDS)
+    none = np.zeros((attention_lm.N_IDS, attention_lm.CLASSES, 3))
+    classes = attention_lm.classes_of(counts, counts + 1e6, of, none, starts)
     c = np.append(attention_lm._list(row["train"]), 45)
-    _, fits = attention_lm._tries(attention_lm.initial(classes, counts), classes, row, c, int(c.sum()))
+    ids, ends = attention_lm.sequences(row)
+    keys = np.unique(attention_lm._before(ids, ends) * attention_lm.N_IDS + ids)
+    _, fits = attention_lm._tries(attention_lm.initial(classes, counts), classes, row, c, int(c.sum()),
+                                  keys, np.zeros(len(keys), np.float32))
     assert [f is not None for f in fits] == (~attention_lm._list(row["held"])).tolist()
 
 
-def test_later_windows_and_less_frequent_pairs_keep_their_share():
-    counts = np.arange(attention_lm.N_IDS, 0, -1).astype(float)
-    size = attention_lm.PAIRED + 1
-    pairs = np.zeros((size, size))
-    pairs[1500, 1800] = 100
-    starts = np.ones(attention_lm.N_IDS)
-    classes = attention_lm.classes_of(counts, np.ones((attention_lm.N_IDS, attention_lm.ANCHORS + 1)), pairs, starts)
-    assert classes.pairs[classes.slot[1500], classes.slot[1800]] > 0.9
+def test_every_pair_of_ids_counts(spark):
+    """Against brute force, over several blocks; held-out texts' pairs are
+    looked up and not counted."""
+    texts = [" ".join(f"word{j * k % 23}" for j in range(3 * k)) for k in range(60)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    blocks = attention_lm.build_blocks(docs, attention_lm.public_tokenizers.path(attention_lm.RANK_FILE), "doc_id", "text",
+                                       block_words=500)
+    with common.batch_rows(spark, 2):
+        pairs = attention_lm.block_pairs(blocks)
+        counted = attention_lm.pair_counts(pairs)
+        got = {r.key: r.c for r in counted.collect()}
+        of = np.arange(attention_lm.N_IDS) % attention_lm.CLASSES
+        starts = np.arange(attention_lm.N_IDS) % 2
+        by_class = attention_lm.class_pairs(counted, of, starts)
+        words = {bytes(r.word): r.c for r in attention_lm.word_counts(blocks).collect()}
+        ids, firsts = attention_lm.id_counts(blocks)
+    assert pairs.count() > 3
+    enc = attention_lm.encoding(attention_lm.public_tokenizers.path(attention_lm.RANK_FILE))
+    want, held, each, begin, word = Counter(), set(), Counter(), Counter(), Counter()
+    for k, text in enumerate(texts):
+        own = attention_lm.words(text)
+        seq = [i for w in own for i in enc.encode_ordinary(" " + w.decode())] + [attention_lm.END]
+        found = [a * attention_lm.N_IDS + b for a, b in zip([attention_lm.END, *seq], seq, strict=False)]
+        held.update(found)
+        if not attention_lm.held_out(k):
+            want.update(found)
+            each.update(seq)
+            word.update(own)
+            begin.update([enc.encode_ordinary(" " + w.decode())[0] for w in own] + [attention_lm.END])
+    assert {k: c for k, c in got.items() if c} == want and set(got) == held
+    assert {k: c for k, c in words.items() if c} == word
+    assert dict(Counter({k: int(ids[k]) for k in np.flatnonzero(ids)})) == each
+    assert {int(k): int(firsts[k]) for k in np.flatnonzero(firsts)} == begin
+    last, target = next(iter(want)) // attention_lm.N_IDS, next(iter(want)) % attention_lm.N_IDS
+    inside = {k: c for k, c in want.items() if k // attention_lm.N_IDS == last and of[k % attention_lm.N_IDS] == of[target]}
+    cell = by_class[last, of[target]]
+    assert cell[0] == sum(inside.values()) and cell[1] == len(inside)
+    assert np.isclose(cell[2], sum((c - attention_lm.DISCOUNT) * starts[k % attention_lm.N_IDS] for k, c in inside.items()))
     # In later windows an id has at least 8 ids before it.
     assert attention_lm.CONTEXT - attention_lm.STRIDE >= 8 and attention_lm.ROUNDS >= 3
 
 
+def test_scores_beat_the_base_on_held_out_texts(spark):
+    """Words whose order can be learned, and the base columns by brute force."""
+    rng = np.random.default_rng(2)
+    cycle = [f"{a}{b}" for b in ("alpha", "beta", "gamma", "delta", "omega", "sigma") for a in ("un", "pre", "inter", "over")]
+    texts = []
+    for _ in range(400):
+        at = (rng.integers(24) + np.cumsum(rng.choice([1, 1, 1, 7], 60))) % 24
+        texts.append(" ".join(cycle[j] for j in at))
+    texts[7], texts[8] = "", "\u00a0A\u2003b C\tc  only once"
+    got = attention_lm.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)).collect()
+    counts = Counter()
+    for k, text in enumerate(texts):
+        if not attention_lm.held_out(k):
+            counts.update([*attention_lm.words(text), None])
+    total, distinct = sum(counts.values()), len(counts)
+    for r in got:
+        own = [*attention_lm.words(texts[r.doc_id]), None]
+        assert (r.held_out, r.n_tokens, r.train_tokens) == (attention_lm.held_out(r.doc_id), len(own), total)
+        assert r.n_known == sum(counts[w] > 0 for w in own)
+        base = sum(np.log10((counts[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in own)
+        assert abs(r.base_score - base) < 1e-6
+    held = [r for r in got if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
 def test_one_of_each_group_whatever_the_splits_of_a_scan(spark, monkeypatch):
     rows = [(k, " ".join(f"w{k // 2}x{j}" for j in range(40))) for k in range(400)]
     docs = common.stored(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), "splits")
