@@ -24,6 +24,9 @@ from hackney.streaming import changes, jobs, late
 from hackney.streaming.services import document_table, merged_table
 
 
+STATE_GROUPS = 8192            # at tens of millions of keys some thousand each
+
+
 def _work(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/hackney-{name}-{uuid.uuid4().hex}"
 
@@ -57,8 +60,9 @@ def _log(df: DataFrame, path: str, mode: str = "update") -> DataFrame:
 
 @C.register("stream_trip_fares_final", C.REGISTRY["trip_fares_table_join"][1])
 def q_stream_trip_fares_final(spark, sf_dir):
-    """Every change of the table join goes to a keyed table: its last rows."""
-    merged = changes.table_left_join_changes(_fares(spark, sf_dir), _trips(spark, sf_dir)).drop("changed")
+    """Every change of the table join goes to a keyed table: its last rows.  The
+    one micro-batch holds all records, so keys share their states."""
+    merged = changes.table_left_join_changes(_fares(spark, sf_dir), _trips(spark, sf_dir), groups=STATE_GROUPS).drop("changed")
     path = _work(spark, "merged")
     table = changelog.KeyedTable(spark, path, merged.schema, ["key"], changes.CHANGE_ORDER)
     _run(merged, table.upsert, f"{path}-checkpoint", "update")

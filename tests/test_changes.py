@@ -96,6 +96,35 @@ def test_idle_keys_leave_the_state(spark, tmp_path):
     assert [r[:3] for r in seen(spark, base)] == [(0, 1, -1), (0, 1, 1), (0, 2, -1)]
 
 
+def test_keys_share_states(spark, tmp_path):
+    """The same changes with a state a key and with three for all; a group's state
+    holds few more records than are still last."""
+    made, base = {}, str(tmp_path)
+    lines = {f"77{k:03}": k for k in range(12)}
+    for step in range(4):
+        for side, line in (("fares", FARE), ("trips", TRIP)):
+            drop(spark, f"{base}/{side}", [(100 * step + n, 50 * step + 7 * n, line.replace("77001", k).format(1 + step))
+                                           for k, n in lines.items() if (n + step) % (3 if side == "trips" else 2)])
+        for name, groups in (("keyed", None), ("shared", 3)):
+            run(joined(spark, base, groups=groups), base, name=name)
+            made[name] = sorted(map(str, spark.read.parquet(f"{base}/{name}").collect()))
+        assert made["keyed"] == made["shared"] and len(made["shared"]) > 6 * (step + 1)
+    held = spark.read.format("statestore").option("stateVarName", "held").load(f"{base}/ckpt-shared")
+    sizes = held.groupBy("key").agg(F.sum(F.size("list_element.keys")).alias("n")).collect()
+    assert 1 < len(sizes) <= 3 and sum(r.n for r in sizes) <= 2 * 24
+
+
+def test_record_without_time_comes_first(spark, tmp_path):
+    base = str(tmp_path)
+    drop(spark, f"{base}/fares", [(1, 0, FARE.format(5)), (2, 20, FARE.format(6))])
+    drop(spark, f"{base}/trips", [(1, 10, TRIP.format(3))])
+    trips = parse.parse_trips(jobs.read_line_files(spark, f"{base}/trips", None)).withColumn("ts", F.lit(None).cast("timestamp"))
+    fares = parse.parse_fares(jobs.read_line_files(spark, f"{base}/fares", None))
+    for name, groups in (("keyed", None), ("shared", 3)):
+        run(changes.table_left_join_changes(fares, trips, groups=groups), base, name=name)
+        assert [r[1:4] for r in seen(spark, base, name)] == [(1, 1, "fare"), (2, 1, "fare")]
+
+
 def test_last_changes_are_the_batch_join(spark, tmp_path):
     base = str(tmp_path)
     trips, fares = fixtures.trip_lines(spark, SF), fixtures.fare_lines(spark, SF)
