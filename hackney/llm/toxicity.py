@@ -154,8 +154,37 @@ def arcs(written: str) -> list[list[tuple[str, float]]]:
     return out
 
 
+_THRICE = re.compile(r"(.)\1\1", re.DOTALL)
+
+
 def restore(written: str, model: CharModel) -> str:
-    """The likeliest words behind a disguised spelling, by Viterbi search.  A
+    """The likeliest words behind a disguised spelling."""
+    if written.isalpha() and not _THRICE.search(written) and all(letters := list(map(latin, written))):
+        return halved(written, letters, model)
+    return search(written, model)
+
+
+def halved(written: str, letters: list[str], model: CharModel) -> str:
+    """`search` of letters of which none stands three times in a row.  Only the
+    second of two equal ones has two readings, and whichever it takes, the letters
+    before and behind the two are the same: so each is decided by itself."""
+    cost, out = model.flat, letters[:1]
+    for k in range(1, len(letters)):
+        if written[k] == written[k - 1]:
+            c = _CODES[letters[k]]
+            before = _CODES[letters[k - 2]] if k > 1 else 0
+            behind = _CODES[letters[k + 1]] if k + 1 < len(letters) else 0
+            both = cost[(before * 27 + c) * 27 + c] + cost[(c * 27 + c) * 27 + behind]
+            if letters[k] != written[k]:
+                both += READ
+            if HALVE + cost[(before * 27 + c) * 27 + behind] < both:
+                continue
+        out.append(letters[k])
+    return "".join(out)
+
+
+def search(written: str, model: CharModel) -> str:
+    """The likeliest words, by Viterbi search.  A
     state is the last two letters read; each written character adds the arcs of
     its readings, and a blank starts anew after the cost of a word's end."""
     lattice = arcs(written)
@@ -239,7 +268,7 @@ class Restorer:
         if len(word) > 1 and word.isascii() and word.isalpha() and not _TWICE.search(word):
             self.known[token] = _NOTHING   # most words: the same as below, sooner
             return _NOTHING
-        parts = spellings(token)
+        parts = [word] if word.isalpha() else spellings(token)
         found: list[str] = []
         for x in parts:
             if disguised(x):

@@ -88,3 +88,20 @@ def test_many_weights_are_joined_and_score_the_same(spark, monkeypatch):
     key = lambda f: sorted((-1 if r.doc_id != r.doc_id else r.doc_id, r.held_out, round(r.score, 9), r.predicted, tuple(r.restored))
                            for r in f.itertuples())
     assert key(sent) == key(joined) and len(sent) == 400 and sent.predicted.sum() > 50
+
+
+def test_letters_alone_need_no_search():
+    """Words of letters, doubled or not, are read as the search reads them."""
+    rng = random.Random(8)
+    model = toxicity.CharModel.of_counts(np.random.default_rng(8).integers(0, 400, (27, 27, 27)).astype(float) ** 2)
+    letters, read, asked = "abcdeéöïñçа", 0, []
+    search, toxicity.search = toxicity.search, lambda w, m: asked.append(w) or search(w, m)
+    try:
+        for _ in range(3000):
+            word = "".join(c * rng.choice((1, 1, 2)) for c in rng.choices(letters, k=rng.randint(1, 7)))
+            got = toxicity.restore(word, model)
+            assert got == search(word, model), word
+            read += len(got) < len(word)
+    finally:
+        toxicity.search = search
+    assert read > 200 and all(any(a == b == c for a, b, c in zip(w, w[1:], w[2:])) for w in asked)
