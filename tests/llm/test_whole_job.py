@@ -175,3 +175,21 @@ def test_a_notice_is_found_wherever_it_stands():
             assert names(f"{filler}{' '.join(notice.split())} {filler}") == [name], notice
     assert names(f"{filler}\n/* {filler}\nReleased under the\nMIT License.\n{filler} Licensed under CC BY-NC 4.0. {filler}*/") == ["MIT", "CC-BY-NC-4.0"]
     assert names(filler) == []
+
+
+def test_counts_go_back_to_every_block(spark):
+    """Words and pairs meet once: each count comes with all blocks that hold its
+    word or pair, and a block is known by a number of its own."""
+    texts = [" ".join(f"word{j * k % 23}" for j in range(3 * k)) for k in range(40)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    blocks = attention_lm.build_blocks(docs, attention_lm.public_tokenizers.path(attention_lm.RANK_FILE), "doc_id", "text",
+                                       block_words=300)
+    with common.batch_rows(spark, 2):
+        own = {r.block: list(map(bytes, r.words)) for r in blocks.select("block", "words").collect()}
+        pairs = attention_lm.block_pairs(blocks)
+        places = {(p.block, p.at): bytes(r.word) for r in attention_lm.word_counts(blocks).collect() for p in r.places}
+        back = {(b, r.key) for r in attention_lm.pair_counts(pairs).collect() for b in r.blocks}
+        want = {(r.block, k) for r in pairs.collect() for k in r["keys"]}
+    assert len(own) == blocks.count() > 3
+    assert places == {(b, at): w for b, words in own.items() for at, w in enumerate(words)}
+    assert back == want
