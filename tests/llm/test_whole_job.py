@@ -193,3 +193,66 @@ def test_counts_go_back_to_every_block(spark):
     assert len(own) == blocks.count() > 3
     assert places == {(b, at): w for b, words in own.items() for at, w in enumerate(words)}
     assert back == want
+
+
+def test_counts_travel_as_rows_of_parts(spark):
+    """Words and pairs go to their sums and back in one row a block and part, not
+    one a word or pair, and a block's counts come in its dictionary's order."""
+    texts = [" ".join(f"word{j * k % 23}" for j in range(3 * k)) for k in range(40)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    blocks = attention_lm.build_blocks(docs, attention_lm.public_tokenizers.path(attention_lm.RANK_FILE), "doc_id", "text",
+                                       block_words=300)
+    with common.batch_rows(spark, 2):
+        words, parts = attention_lm.word_sums(blocks), attention_lm.part_number(blocks)
+        rows = [(r.block, r.part) for r in words.collect()]
+        own = {r.block: list(map(bytes, r.words)) for r in blocks.select("block", "words").collect()}
+        back = {r.block: [c for x in r.counts for c in attention_lm._unpacked(x.c).tolist()]
+                for r in attention_lm.words_back(words).collect()}
+        total = attention_lm.totals(blocks, words)
+        pair_rows = [(r.block, r.part) for r in attention_lm.pair_sums(attention_lm.block_pairs(blocks)).collect()]
+    want = Counter(w for k, t in enumerate(texts) if not attention_lm.held_out(k) for w in attention_lm.words(t))
+    assert {b: [want[w] for w in ws] for b, ws in own.items() if ws} == back
+    assert total.train_tokens == sum(want.values()) + total.ends and total.distinct == len(want) + 1
+    for found in (rows, pair_rows):
+        assert len(set(found)) == len(found) and {b for b, _ in found} <= {None, *own} and all(0 <= k < parts for _, k in found)
+
+
+def test_packed_numbers():
+    for most in (0, 1, 255, 256, 65_535, 65_536, 2 ** 32 - 1, 2 ** 32, 2 ** 50):
+        x = np.asarray([0, most, most // 3])
+        assert attention_lm._unpacked(attention_lm._packed(x)).tolist() == x.tolist()
+        assert len(attention_lm._packed(x)) == 1 + 3 * next(k for k in (1, 2, 4, 8) if most < 1 << 8 * k)
+    assert len(attention_lm._unpacked(attention_lm._packed(np.zeros(0, np.int64)))) == 0
+
+
+def test_mixture_is_fitted_without_a_text_s_own_pairs():
+    """A pair that only its own text has counts nothing for it: what is left is
+    the id's share of its class, or the discounted pairs of others."""
+    rng = np.random.default_rng(6)
+    of = rng.integers(0, attention_lm.CLASSES, attention_lm.N_IDS)
+    starts, counts = np.ones(attention_lm.N_IDS), rng.integers(0, 50, attention_lm.N_IDS).astype(float)
+    ids = np.append(rng.integers(0, 12, 50), attention_lm.END).astype(np.int32)
+    ends = np.asarray([len(ids)])
+    before = attention_lm._before(ids, ends)
+
+    def inside(at, keys, n):
+        """Share of an id among the ids of its class behind the last id, by hand."""
+        share = np.exp(c.share[ids[at]])
+        same = {int(k): m for k, m in zip(keys, n, strict=True) if m and k // attention_lm.N_IDS == before[at]
+                and of[k % attention_lm.N_IDS] == of[ids[at]]}
+        if not same:
+            return share
+        own = max(same.get(int(before[at]) * attention_lm.N_IDS + int(ids[at]), 0) - attention_lm.DISCOUNT, 0)
+        return (own + attention_lm.DISCOUNT * len(same) * share) / sum(same.values())
+
+    keys, n = np.unique(before * attention_lm.N_IDS + ids, return_counts=True)
+    cell, size = keys // attention_lm.N_IDS * attention_lm.CLASSES + of[keys % attention_lm.N_IDS], attention_lm.N_IDS * attention_lm.CLASSES
+    pairs = np.stack([np.bincount(cell, w, size) for w in (n, n > 0, n - attention_lm.DISCOUNT)], 1).reshape(
+        attention_lm.N_IDS, attention_lm.CLASSES, 3)
+    c = attention_lm.classes_of(counts, counts, of, pairs, starts)
+    less = np.zeros(len(ids), np.float32)
+    logs, _ = attention_lm.id_logs(attention_lm.initial(c, counts), c, ids, ends, keys, n.astype(np.float32), less=less)
+    for at in range(len(ids)):
+        fewer = n - (keys == before[at] * attention_lm.N_IDS + ids[at])
+        assert abs((less - logs)[at] - np.log(inside(at, keys, fewer) / inside(at, keys, n))) < 1e-3
+    assert (n == 1).any() and (n > 1).any()
