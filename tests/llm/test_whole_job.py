@@ -39,6 +39,83 @@ def test_every_id_of_every_training_text_is_a_target_once():
     assert Counter(zip(windows[:, :-1][targets >= 0].tolist(), targets[targets >= 0].tolist(), strict=True)) == pairs
 
 
+def test_scoring_attends_once_for_each_id(monkeypatch):
+    """From a text's second window on, only the places that are scored there."""
+    row = _block([" ".join(f"word{j % (k + 3)}" for j in range(17 * k)) for k in range(30)])
+    rng = np.random.default_rng(0)
+    counts = rng.integers(0, 50, attention_lm.N_IDS).astype(float)
+    of = rng.integers(0, attention_lm.CLASSES, attention_lm.N_IDS)
+    classes = attention_lm.classes_of(counts, counts, of, np.zeros((attention_lm.N_IDS, attention_lm.CLASSES, 3)), np.ones(attention_lm.N_IDS))
+    ids, ends = attention_lm.sequences(row)
+    keys = np.unique(attention_lm._before(ids, ends) * attention_lm.N_IDS + ids)
+    places, plain = [], attention_lm._attention
+
+    def counted(*args):
+        out = plain(*args)
+        places.append(len(out[3]))
+        return out
+
+    monkeypatch.setattr(attention_lm, "_attention", counted)
+    attention_lm.id_logs(attention_lm.initial(classes, counts), classes, ids, ends, keys, np.ones(len(keys), np.float32))
+    sizes = np.diff(ends, prepend=0)
+    more = -(-np.maximum(sizes - attention_lm.CONTEXT, 0) // attention_lm.STRIDE)
+    assert more.max() > 5 and sum(places) == (attention_lm.CONTEXT + more * attention_lm.STRIDE).sum()
+
+
+def test_texts_scored_in_groups_score_alike(monkeypatch):
+    row = _block(["", None, *(" ".join(f"word{j % (k + 3)}" for j in range(7 * k)) for k in range(40)), ""])
+    rng = np.random.default_rng(5)
+    counts = rng.integers(0, 50, attention_lm.N_IDS).astype(float)
+    of = rng.integers(0, attention_lm.CLASSES, attention_lm.N_IDS)
+    classes = attention_lm.classes_of(counts, counts + 1e6, of, np.zeros((attention_lm.N_IDS, attention_lm.CLASSES, 3)), rng.integers(0, 2, attention_lm.N_IDS))
+    classes.starts[:] = attention_lm.begins_word(attention_lm.encoding(attention_lm.public_tokenizers.path(attention_lm.RANK_FILE)))
+    c = np.append(attention_lm._list(row["train"]), 39)
+    ids, ends = attention_lm.sequences(row)
+    keys, n = np.unique(attention_lm._before(ids, ends) * attention_lm.N_IDS + ids, return_counts=True)
+    got = []
+    for most in (attention_lm.TEXT_IDS, 1, 300):
+        monkeypatch.setattr(attention_lm, "TEXT_IDS", most)
+        got.append(attention_lm._tries(attention_lm.initial(classes, counts), classes, row, c, int(c.sum()), keys, n.astype(np.float32)))
+    for tries, fits in got[1:]:
+        assert np.allclose(tries, got[0][0], atol=2e-4)
+        assert all((a is None) == (b is None) and np.allclose(a or 0, b or 0, atol=1e-3) for a, b in zip(fits, got[0][1], strict=True))
+
+
+def test_words_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(1)
+    signs = list(" \t\n\r\x0b\x0c\x00\x1c\x85\xa0\u3000 aAbZ\u00c9\u00e9\u0130\u4e2d\U0001f642")
+    texts = [None, "", " ", "  a  B ", *("".join(rng.choice(signs, n)) for n in rng.integers(0, 40, 500))]
+    found, lengths = attention_lm.split_words(pa.array(texts, pa.string()))
+    want = [attention_lm.words(t) for t in texts]
+    assert lengths.tolist() == [len(w) for w in want]
+    assert attention_lm._bytes(found) == [w for each in want for w in each]
+    assert attention_lm._bytes(found.slice(5, 9)) == found.slice(5, 9).cast(pa.binary()).to_pylist()
+
+
+def test_places_of_pairs_are_those_of_a_search():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 5000):
+        keys = np.sort(rng.choice(attention_lm.N_IDS ** 2, n, replace=False))
+        wanted = rng.choice(keys, 20_000)
+        find = attention_lm.finder(keys, rng.integers(0, 9, n).astype(np.float32))
+        assert (find(wanted) == np.searchsorted(keys, wanted)).all()
+
+
+def test_mixtures_of_texts_longer_than_a_run():
+    """Against the sum of each word's logarithm; some words are new."""
+    rng = np.random.default_rng(3)
+    sizes = np.asarray([1, 100, 2, attention_lm.RUN, attention_lm.RUN + 1, 333, 1])
+    n = int(sizes.sum())
+    c, total = rng.integers(0, 4, n), 10 ** 18
+    c[1:4] = 0
+    c[-1] = 0                                        # texts without any known word
+    same, said, begun = c + rng.integers(1, 9, n), -rng.exponential(9, n), -rng.exponential(3, n)
+    known = c > 0
+    want = np.stack([np.bincount(np.repeat(np.arange(len(sizes)), sizes), np.log10(np.where(
+        known, m * np.exp(said) + (1 - m) * (b * np.exp(begun) * c / same + (1 - b) * c / total), m * np.exp(said)))) for m, b in attention_lm.MIXES], 1)
+    assert np.allclose(attention_lm.mixtures(said, begun, c, same, total, sizes), want, rtol=1e-9)
+
+
 def test_every_training_text_fits_the_mixture():
     row = _block([f"some words and number{k}" for k in range(50)])
     rng = np.random.default_rng(0)
